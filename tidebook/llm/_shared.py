@@ -7,9 +7,11 @@ vectorisation with NumPy, and connected components over an edge table.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -186,6 +188,14 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
 
 def tuned(spark: SparkSession) -> None:
-    """Arrow batches of at most 1,000 rows for this session, so that long texts stay within a worker's memory."""
+    """Arrow batches of at most 1,000 rows for this session, so that long texts stay within a worker's memory.
+
+    Python workers also get this package's place on their path; where executors do not
+    see it, ship the package with --py-files.
+    """
+    place = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if place not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (paths, place) if x)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 1000:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

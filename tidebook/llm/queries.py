@@ -19,6 +19,12 @@ def op1_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op5_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import chosen_path
+
+    return chosen_path.near_duplicates(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
