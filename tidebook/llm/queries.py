@@ -25,6 +25,13 @@ def op5_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(_docs(spark, sf_dir))
 
 
+def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import merkle
+
+    out = merkle.edited_fingerprints(_docs(spark, sf_dir))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edits")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
