@@ -32,6 +32,15 @@ def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next", "edits")
 
 
+def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import pii
+
+    out = pii.extract(_docs(spark, sf_dir))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in pii.KINDS]
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "found")).alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
