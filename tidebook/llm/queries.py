@@ -41,6 +41,20 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "found")).alias("spans"))
 
 
+def _remainder(column: str, by: int):
+    """crc32 of an id as text, modulo ``by``."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % by
+
+
+def op9_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import toxic_crf
+
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    out = toxic_crf.toxicity(_docs(spark, sf_dir), labels, _remainder("doc_id", 3) != 1)
+    offsets = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return out.select("doc_id", (_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= toxic_crf.THRESHOLD).cast("int").alias("predicted"), offsets.alias("toxic_spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
