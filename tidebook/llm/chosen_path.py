@@ -14,8 +14,9 @@ Large groups stay linear. Exact copies meet first, by a digest of their words, a
 are represented by one document. Nodes of any size then link their documents to a
 pivot (one pair a document); what the confirmed links connect needs no further
 comparison, so only nodes with several classes are searched exhaustively or branch
-further. Nodes that are still large at the last level are compared in blocks, so no
-pair is dropped.
+further. A large node that one class fills is compared in blocks of that class, each with
+the few documents outside it. Nodes that are still large at the last level are compared
+in blocks of all their documents, so no pair is dropped.
 
 Null and blank texts have empty sets and no links. Rows with the same id count as one
 document whose links are those of all its texts. Null ids have a null component and
@@ -38,8 +39,10 @@ TOKENS = 64
 TREES = 16
 #: A node's documents select 1 / BRANCH tokens on average.
 BRANCH = 0.6
-#: Nodes of at most so many documents are compared exhaustively.
-LEAF = 64
+#: Nodes of at most so many documents are compared exhaustively. A larger node with at most so
+#: many documents outside its largest class is compared in blocks of that class.
+LEAF = 512
+OUTSIDE = 128
 DEPTH = 12
 #: Ids up to this number are broadcast to find their texts (8 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 4_000_000
@@ -159,11 +162,15 @@ def _within(rows: DataFrame, least: int) -> DataFrame:
     """Pairs of different classes within nodes of few documents; rows: node, doc_id, component, sketch."""
 
     def compare(ids: np.ndarray, comps: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        i, j = np.triu_indices(len(ids), 1)
-        other = comps[i] != comps[j]
-        i, j = i[other], j[other]
-        ok = (low[i] == low[j]).sum(axis=1) >= least
-        return ids[i[ok]], ids[j[ok]]
+        # the largest class is never compared with itself, so it is left out on one side
+        names, code, sizes = np.unique(comps, return_inverse=True, return_counts=True)
+        left, right = [], []
+        for i in np.flatnonzero(code != np.argmax(sizes)):
+            j = np.flatnonzero((code != code[i]) & ((code == np.argmax(sizes)) | (np.arange(len(ids)) > i)))
+            j = j[(low[j] == low[i]).sum(axis=1) >= least]
+            left.append(np.full(len(j), ids[i]))
+            right.append(ids[j])
+        return (np.concatenate(left), np.concatenate(right)) if left else (ids[:0], ids[:0])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -231,40 +238,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         several = level.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
         return _shared.written(level.join(several, "node"), "nodes")
 
-    links = []
     found = spark.createDataFrame([], "id long, component long")
 
+    tested = None
+
     def settle(pairs: DataFrame) -> None:
-        """Confirm pairs and bring the classes up to date."""
-        nonlocal found
-        pairs = _shared.written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct(), "pairs")
+        """Confirm pairs that were not tested before and bring the classes up to date."""
+        nonlocal found, tested
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+        pairs = _shared.written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             return
-        links.append(_shared.written(confirmed(pairs, plain, width, percent), "links"))
-        every = links[0]
-        for x in links[1:]:
-            every = every.unionByName(x)
-        found = _shared.written(_shared.components(every), "components")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        new = _shared.written(confirmed(pairs, plain, width, percent), "links")
+        if new.isEmpty():
+            return
+        # earlier links count as their classes: one edge a document
+        found = _shared.written(_shared.components(new.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))), "components")
 
     level = shared_nodes(_roots(reps, trees))
     settle(_alike(level.filter("doc_id > low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct(), reps, least))
     for depth in range(DEPTH):
         named = level.join(found, level.doc_id == found.id, "left").select("node", "doc_id", "n", "low", "high", F.coalesce("component", "doc_id").alias("component"))
-        mixed = named.groupBy("node").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2").select("node")
-        open_ = _shared.written(named.join(mixed, "node", "left_semi").join(reps, "doc_id"), "open")
-        small, large = open_.filter(F.col("n") <= LEAF), open_.filter(F.col("n") > LEAF)
+        named = _shared.written(named, "named")
+        by_class = named.groupBy("node", "component").agg(F.count("*").alias("size"))
+        mixed = by_class.groupBy("node").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("classes")).filter("classes > 1")
+        open_ = named.join(mixed.select("node", "top.size", F.col("top.component").alias("most")), "node")
+        open_ = _shared.written(open_.withColumn("kind", F.expr(f"case when n <= {LEAF} then 0 when n - size <= {OUTSIDE} then 1 else 2 end")).join(reps, "doc_id"), "open")
+        large = open_.filter("kind = 2")
         last = large.isEmpty()
-        pairs = _within(small, least)
+        # a class that fills a node is dealt in blocks, each with all documents outside it
+        blocks = F.ceil(F.col("size") / (LEAF - OUTSIDE))
+        dealt = open_.withColumn("block", F.explode(F.expr(f"case when kind = 1 and component <> most then sequence(0L, ceil(size / {LEAF - OUTSIDE}) - 1) else array(0L) end")))
+        dealt = dealt.withColumn("block", F.when(F.expr("kind = 1 and component = most"), F.pmod(F.xxhash64("doc_id"), blocks)).otherwise(F.col("block")))
+        pairs = _within(dealt.filter("kind < 2").withColumn("node", F.xxhash64("node", "block")), least)
         if not last:
             pivot = "low" if depth else "high"  # at first, the smallest was the pivot already
-            star = large.filter(F.col("doc_id") != F.col(pivot)).select(F.col("doc_id").alias("a"), F.col(pivot).alias("b")).distinct()
+            of_pivot = found.select(F.col("id").alias(pivot), F.col("component").alias("theirs"))
+            star = large.join(of_pivot, pivot, "left").filter(F.col("component") != F.coalesce("theirs", pivot)).select(F.col("doc_id").alias("a"), F.col(pivot).alias("b")).distinct()
             pairs = pairs.unionByName(_alike(star, reps, least))
         settle(pairs)
         if last:
             break
-        if depth == DEPTH - 1:  # compare what is left in blocks
-            blocks = large.withColumn("k", F.ceil(F.col("n") / (LEAF // 2))).withColumn("block", F.pmod(F.xxhash64("doc_id"), "k"))
-            both = blocks.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
+        if depth == DEPTH - 1:  # compare what is left in blocks of all documents
+            split = large.withColumn("k", F.ceil(F.col("n") / (LEAF // 2))).withColumn("block", F.pmod(F.xxhash64("doc_id"), "k"))
+            both = split.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
             both = both.withColumn("node", F.xxhash64("node", F.least("block", "with"), F.greatest("block", "with")))
             settle(_within(both, least))
         level = shared_nodes(_children(large))
