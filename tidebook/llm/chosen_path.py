@@ -36,21 +36,23 @@ from pyspark.sql import functions as F
 from tidebook.llm import _shared
 
 TOKENS = 64
+#: One-byte minwise marks by which sketches are compared before the full sets are.
+MARKS = 256
 TREES = 16
 #: A node's documents select 1 / BRANCH tokens on average.
 BRANCH = 0.6
 #: Nodes of at most so many documents are compared exhaustively. A larger node with at most so
 #: many documents outside its largest class is compared in blocks of that class.
-LEAF = 512
-OUTSIDE = 128
+LEAF = 1024
+OUTSIDE = 256
 DEPTH = 12
 #: Ids up to this number are broadcast to find their texts (8 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 4_000_000
 
 _U = np.uint64
 _RNG = np.random.default_rng(20_240_601)
-_MUL = _RNG.integers(1, 2**63, TOKENS, dtype=np.uint64) * _U(2) + _U(1)
-_ADD = _RNG.integers(0, 2**63, TOKENS, dtype=np.uint64)
+_MUL = _RNG.integers(1, 2**63, MARKS, dtype=np.uint64) * _U(2) + _U(1)
+_ADD = _RNG.integers(0, 2**63, MARKS, dtype=np.uint64)
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * _U(2) + _U(1)
 _SEEDS = _RNG.integers(1, 2**63, 1024, dtype=np.uint64)
 
@@ -83,31 +85,32 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, width: int) -> tuple[list[np.n
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """doc_id, n_shingles, d1, d2 (digest), sketch (binary; null for empty sets)."""
+    """doc_id, n_shingles, d1, d2 (digest), tokens and marks (binary; null for empty sets)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in itertools.chain.from_iterable(_shared.text_slices(b, "text") for b in batches):
             sets, _, digest = shingle_sets(*_shared.text_bytes(batch.column(1)), width)
             n = np.array([len(s) for s in sets], np.int64)
             full = np.flatnonzero(n)
-            sketch = [None] * len(n)
+            tokens, marks = [None] * len(n), [None] * len(n)
             if len(full):
                 every = np.concatenate([sets[i] for i in full])
                 first = np.concatenate([[0], np.cumsum(n[full])[:-1]])
-                low = np.empty((len(full), TOKENS), np.uint32)
-                for j in range(TOKENS):
+                low = np.empty((len(full), MARKS), np.uint32)
+                for j in range(MARKS):
                     low[:, j] = np.minimum.reduceat((every * _MUL[j] + _ADD[j]) >> _U(32), first)
+                byte = (_shared.mixed(low.astype(np.uint64)) >> _U(56)).astype(np.uint8)
                 for row, i in enumerate(full):
-                    sketch[i] = low[row].tobytes()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "d1", "d2", "sketch"])
+                    tokens[i], marks[i] = low[row, :TOKENS].tobytes(), byte[row].tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(digest[0].view(np.int64)), pa.array(digest[1].view(np.int64)), pa.array(tokens, pa.binary()), pa.array(marks, pa.binary())], names=["doc_id", "n_shingles", "d1", "d2", "tokens", "marks"])
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(make, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
+    return plain.mapInArrow(make, "doc_id long, n_shingles long, d1 long, d2 long, tokens binary, marks binary")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Sketches of a binary column as rows of uint32."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, TOKENS)
+def _matrix(column: pa.Array, kind: type = np.uint8) -> np.ndarray:
+    """Rows of a binary column: marks, or tokens as uint32."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, MARKS if kind is np.uint8 else TOKENS)
 
 
 def _tokens(low: np.ndarray) -> np.ndarray:
@@ -123,43 +126,43 @@ def _roots(reps: DataFrame, trees: int) -> DataFrame:
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for batch in (b.slice(i, 2000) for i in range(0, b.num_rows, 2000)):
-                ids, tokens = batch.column(0).to_numpy(), _tokens(_matrix(batch.column(1)))
+                ids, tokens = batch.column(0).to_numpy(), _tokens(_matrix(batch.column(1), np.uint32))
                 for t in range(trees):
                     pick = _shared.mixed(tokens ^ _SEEDS[t])
                     row, col = np.nonzero(pick < _SELECT)
                     yield pa.RecordBatch.from_arrays([pa.array(_shared.mixed(pick[row, col] + _U(1)).view(np.int64)), pa.array(ids[row])], names=["node", "doc_id"])
 
-    return reps.select("doc_id", "sketch").mapInArrow(branch, "node long, doc_id long")
+    return reps.select("doc_id", "tokens").mapInArrow(branch, "node long, doc_id long")
 
 
 def _children(rows: DataFrame) -> DataFrame:
-    """The next level under the nodes of ``rows`` (node, doc_id, sketch)."""
+    """The next level under the nodes of ``rows`` (node, doc_id, tokens)."""
 
     def branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for batch in (b.slice(i, 2000) for i in range(0, b.num_rows, 2000)):
                 parent, ids = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
-                pick = _shared.mixed(_tokens(_matrix(batch.column(2))) ^ parent[:, None])
+                pick = _shared.mixed(_tokens(_matrix(batch.column(2), np.uint32)) ^ parent[:, None])
                 row, col = np.nonzero(pick < _SELECT)
                 yield pa.RecordBatch.from_arrays([pa.array(_shared.mixed(pick[row, col] + _U(1)).view(np.int64)), pa.array(ids[row])], names=["node", "doc_id"])
 
-    return rows.select("node", "doc_id", "sketch").mapInArrow(branch, "node long, doc_id long")
+    return rows.select("node", "doc_id", "tokens").mapInArrow(branch, "node long, doc_id long")
 
 
 def _alike(pairs: DataFrame, sketch: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) whose sketches agree in ``least`` tokens or more."""
+    """Pairs (a, b) whose marks agree in ``least`` places or more."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = (_matrix(batch.column(2)) == _matrix(batch.column(3))).sum(axis=1)
             yield batch.select(["a", "b"]).filter(pa.array(same >= least))
 
-    of = lambda end, name: sketch.select(F.col("doc_id").alias(end), F.col("sketch").alias(name))
+    of = lambda end, name: sketch.select(F.col("doc_id").alias(end), F.col("marks").alias(name))
     return pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long").distinct()
 
 
 def _within(rows: DataFrame, least: int) -> DataFrame:
-    """Pairs of different classes within nodes of few documents; rows: node, doc_id, component, sketch."""
+    """Pairs of different classes within nodes of few documents; rows: node, doc_id, component, marks."""
 
     def compare(ids: np.ndarray, comps: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # the largest class is never compared with itself, so it is left out on one side
@@ -195,7 +198,7 @@ def _within(rows: DataFrame, least: int) -> DataFrame:
         if held:
             yield from flush(pa.Table.from_batches(held))
 
-    dealt = rows.select("node", "doc_id", "component", "sketch").repartition("node").sortWithinPartitions("node", "doc_id")
+    dealt = rows.select("node", "doc_id", "component", "marks").repartition("node").sortWithinPartitions("node", "doc_id")
     return dealt.mapInArrow(pairs, "a long, b long")
 
 
@@ -227,12 +230,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     _shared.tuned(spark)
-    least = int(TOKENS * percent / 100 - 4.5 * np.sqrt(TOKENS * percent / 100 * (1 - percent / 100)))
+    chance = percent / 100 + (1 - percent / 100) / 256
+    least = int(MARKS * chance - 4.5 * np.sqrt(MARKS * chance * (1 - chance)))
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = _shared.written(sketches(docs, id_col, text_col, width), "sketches")
     linked = rows.filter("doc_id is not null and n_shingles > 0")
     classes = _shared.written(linked.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = _shared.written(linked.join(classes.select("d1", "d2", F.col("rep").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi").dropDuplicates(["doc_id", "d1", "d2"]).select("doc_id", "sketch"), "reps")
+    reps = _shared.written(linked.join(classes.select("d1", "d2", F.col("rep").alias("doc_id")), ["doc_id", "d1", "d2"], "left_semi").dropDuplicates(["doc_id", "d1", "d2"]).select("doc_id", "tokens", "marks"), "reps")
 
     def shared_nodes(level: DataFrame) -> DataFrame:
         several = level.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
@@ -264,7 +268,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         by_class = named.groupBy("node", "component").agg(F.count("*").alias("size"))
         mixed = by_class.groupBy("node").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("classes")).filter("classes > 1")
         open_ = named.join(mixed.select("node", "top.size", F.col("top.component").alias("most")), "node")
-        open_ = _shared.written(open_.withColumn("kind", F.expr(f"case when n <= {LEAF} then 0 when n - size <= {OUTSIDE} then 1 else 2 end")).join(reps, "doc_id"), "open")
+        open_ = _shared.written(open_.withColumn("kind", F.expr(f"case when n <= {LEAF} then 0 when n - size <= {OUTSIDE} then 1 else 2 end")).join(reps.select("doc_id", "marks"), "doc_id"), "open")
         large = open_.filter("kind = 2")
         last = large.isEmpty()
         # a class that fills a node is dealt in blocks, each with all documents outside it
@@ -285,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             both = split.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
             both = both.withColumn("node", F.xxhash64("node", F.least("block", "with"), F.greatest("block", "with")))
             settle(_within(both, least))
-        level = shared_nodes(_children(large))
+        level = shared_nodes(_children(large.select("node", "doc_id").join(reps.select("doc_id", "tokens"), "doc_id")))
         if level.isEmpty():
             break
 
