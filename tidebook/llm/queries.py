@@ -41,6 +41,18 @@ def op10_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "found")).alias("spans"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import licenses
+
+    out = licenses.scan(_docs(spark, sf_dir))
+    starts, base = F.transform("places", lambda p: p["start"]), F.transform("places", lambda p: p["label"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return out.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"), joined(F.concat(base, "found")).alias("labels"), F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
+    )
+
+
 def _remainder(column: str, by: int):
     """crc32 of an id as text, modulo ``by``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % by
