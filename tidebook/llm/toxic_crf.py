@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 
 from tidebook.llm import _shared
 
-SAMPLE, SAMPLE_CHARS = 12_000, 8_000
+SAMPLE, SAMPLE_CHARS = 3_000, 8_000
 THRESHOLD = 0.7
 #: Hashed features, tokens in a training window, training steps, tokens in a block of the scan.
-BITS, WINDOW, STEPS, BLOCK = 18, 12, 60, 64
+BITS, WINDOW, STEPS, BLOCK = 18, 12, 40, 64
 #: A feature marks toxic tokens if it is in so many toxic documents, and so much likelier there.
 LEAST_DOCS, LEAST_RATIO = 4, 25.0
 
@@ -70,8 +70,8 @@ def features(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     if n > 1:
         before[1:] = np.where(first[1:], _U(0), hashes[0, :-1])
         after[:-1] = np.where(first[1:], _U(0), hashes[0, 1:])
-    every = np.vstack([hashes, _shared.mixed(before + _U(0xA5A5)), _shared.mixed(after + _U(0x5A5A))])
-    return (every >> _U(64 - BITS)).astype(np.int64)
+    rows = [*hashes, _shared.mixed(before + _U(0xA5A5)), _shared.mixed(after + _U(0x5A5A))]
+    return np.stack([(row >> _U(64 - BITS)).astype(np.int32) for row in rows])
 
 
 def _scan(score: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,6 +208,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     nt, nc = y[learn].sum(), (1 - y[learn]).sum()
     for row in hashes:
         key, code = np.unique(row, return_inverse=True)
+        code = code.astype(np.int32)
         once = np.unique(code[on].astype(np.int64) * len(y) + doc[on])
         k, d = once // len(y), once % len(y)
         toxic, clean = (np.bincount(k, w, len(key)) for w in (y[d], 1 - y[d]))
@@ -215,6 +216,7 @@ def fit(texts: list[str], labels: list[int]) -> Model:
         marked |= ((toxic >= LEAST_DOCS) & (ratio >= LEAST_RATIO))[code]
     tags = marked & (y[doc] == 1)
     feats = features(hashes, first)
+    del hashes
     # windows around toxic tokens, and the beginnings of learned documents as plain text
     take = np.zeros(len(tags), bool)
     hits = np.flatnonzero(tags & on)
@@ -228,7 +230,8 @@ def fit(texts: list[str], labels: list[int]) -> Model:
     heads[0] = True
     heads[1:] |= np.diff(index) > 1
     model = trained(feats[:, index], heads, tags[index].astype(float)) if len(hits) else Model(np.zeros(1 << BITS, np.float32), np.zeros((2, 2)), np.zeros(2), np.zeros(4))
-    x = summary(marginals(feats, first, model), at)
+    p = np.concatenate([marginals(feats[:, a:b], first[a:b], model) for a, b in itertools.pairwise(at[[*range(0, len(y), 200), len(y)]].tolist())])
+    x = summary(p, at)
     held = ~learn if len(set(y[~learn])) == 2 else np.ones(len(y), bool)
     model.calibration = _calibrated(x[held], y[held])
     return model
