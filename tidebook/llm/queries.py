@@ -58,6 +58,14 @@ def _remainder(column: str, by: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % by
 
 
+def op8_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import kneser_ney
+
+    held_out = _remainder("doc_id", 5) == 1
+    out = kneser_ney.scored(_docs(spark, sf_dir), ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidebook.llm import toxic_crf
 
