@@ -19,6 +19,12 @@ def op1_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import chunk_dedup
+
+    return chunk_dedup.repeats(_docs(spark, sf_dir))
+
+
 def op5_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidebook.llm import chosen_path
 
