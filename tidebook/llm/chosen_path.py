@@ -161,52 +161,103 @@ def _alike(pairs: DataFrame, sketch: DataFrame, least: int) -> DataFrame:
     return pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long").distinct()
 
 
-def _within(rows: DataFrame, least: int) -> DataFrame:
-    """Pairs of different classes within nodes of few documents; rows: node, doc_id, component, marks."""
-
-    def compare(ids: np.ndarray, comps: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        # the largest class is never compared with itself, so it is left out on one side
-        names, code, sizes = np.unique(comps, return_inverse=True, return_counts=True)
-        left, right = [], []
-        for i in np.flatnonzero(code != np.argmax(sizes)):
-            j = np.flatnonzero((code != code[i]) & ((code == np.argmax(sizes)) | (np.arange(len(ids)) > i)))
-            j = j[(low[j] == low[i]).sum(axis=1) >= least]
-            left.append(np.full(len(j), ids[i]))
-            right.append(ids[j])
-        return (np.concatenate(left), np.concatenate(right)) if left else (ids[:0], ids[:0])
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            node, ids, comps = (table.column(k).to_numpy() for k in range(3))
-            low = _matrix(table.column(3).combine_chunks() if table.num_rows else pa.array([], pa.binary()))
-            cut = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]])
-            found = [compare(ids[a:b], comps[a:b], low[a:b]) for a, b in itertools.pairwise(cut.tolist()) if b - a > 1]
+def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]]:
+    """Nodes of sorted rows (node, doc_id, component, ...): ids, components and rows of each, over batch borders."""
+
+    def cut(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]]:
+        node, ids, comps = (table.column(k).to_numpy() for k in range(3))
+        edges = np.concatenate([[0], np.flatnonzero(node[1:] != node[:-1]) + 1, [len(node)]]).tolist()
+        for a, b in itertools.pairwise(edges):
+            if b - a > 1:
+                yield node[a:b], ids[a:b], comps[a:b], table.slice(a, b - a)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        last = batch.column(0)[batch.num_rows - 1].as_py()
+        if held[0].column(0)[0].as_py() == last:
+            continue
+        table = pa.Table.from_batches(held)
+        whole = int(np.flatnonzero(table.column(0).to_numpy() != last)[-1]) + 1
+        yield from cut(table.slice(0, whole))
+        held = table.slice(whole).to_batches()
+    if held:
+        yield from cut(pa.Table.from_batches(held))
+
+
+def _others(comps: np.ndarray, marks: np.ndarray, least: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, places j of another class whose marks agree with i's): each pair once, the largest class never inside itself."""
+    _, code, sizes = np.unique(comps, return_inverse=True, return_counts=True)
+    most = np.argmax(sizes)
+    place = np.arange(len(comps))
+    for i in np.flatnonzero(code != most):
+        j = np.flatnonzero((code != code[i]) & ((code == most) | (place > i)))
+        j = j[(marks[j] == marks[i]).sum(axis=1) >= least]
+        if len(j):
+            yield int(i), j
+
+
+def _within(rows: DataFrame, docs: DataFrame, least: int, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between different classes within nodes of few documents; rows: node, doc_id, component, marks.
+
+    Marks first say which documents have a candidate in their node. Only these get their
+    texts, once a node, and are compared on their full sets there; links that connect what
+    the node's links connect already are left out. So what leaves a node stays below its size.
+    """
+
+    def flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, comps, table in _by_node(batches):
+            hit = np.zeros(len(comps), bool)
+            for i, j in _others(comps, _matrix(table.column(3).combine_chunks()), least):
+                hit[i] = True
+                hit[j] = True
+            if hit.any():
+                yield from table.filter(pa.array(hit)).combine_chunks().to_batches()
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, ids, comps, table in _by_node(batches):
+            sets = [x for part in table.select(["text"]).to_batches() for piece in _shared.text_slices(part, "text") for x in shingle_sets(*_shared.text_bytes(piece.column(0)), width)[0]]
+            _, code = np.unique(comps, return_inverse=True)
+            top = list(range(len(ids)))
+
+            def root(k: int, top: list[int] = top) -> int:
+                while top[k] != k:
+                    top[k] = top[top[k]]
+                    k = top[k]
+                return k
+
+            found: list[tuple[int, int]] = []
+            for i, others in _others(comps, _matrix(table.column(3).combine_chunks()), least):
+                for j in others.tolist():
+                    n, m = len(sets[i]), len(sets[j])
+                    if 100 * min(n, m) < percent * max(n, m) or (x := root(int(code[i]))) == (y := root(int(code[j]))):
+                        continue
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (n + m - both):
+                        top[max(x, y)] = min(x, y)
+                        found.append((i, j))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], names=["a", "b"])
-
-        for batch in batches:  # a node may reach over two batches: hold back the last one
-            held.append(batch)
-            table = pa.Table.from_batches(held)
-            node = table.column(0).to_numpy()
-            other = np.flatnonzero(node != node[-1]) if len(node) else node
-            last = int(other[-1]) + 1 if len(other) else 0
-            if last:
-                yield from flush(table.slice(0, last))
-                held = table.slice(last).to_batches()
-        if held:
-            yield from flush(pa.Table.from_batches(held))
+                i, j = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], names=["a", "b"])
 
     dealt = rows.select("node", "doc_id", "component", "marks").repartition("node").sortWithinPartitions("node", "doc_id")
-    return dealt.mapInArrow(pairs, "a long, b long")
+    flagged = _shared.written(dealt.mapInArrow(flag, "node long, doc_id long, component long, marks binary"), "flagged")
+    texts = _texts_of(flagged.select("doc_id").distinct(), docs)
+    dealt = flagged.join(texts, "doc_id").select("node", "doc_id", "component", "marks", "text").repartition("node").sortWithinPartitions("node", "doc_id")
+    return dealt.mapInArrow(link, "a long, b long").distinct()
+
+
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with these ids; the ids are broadcast up to a checked number, so other texts are not shuffled."""
+    ids = _shared.written(ids, "ids")
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full shingle sets reach the threshold: a, b. ``docs``: doc_id, text."""
-    ids = _shared.written(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "doc_id"), "ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    texts = _texts_of(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "doc_id"), docs)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -244,24 +295,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = spark.createDataFrame([], "id long, component long")
 
-    tested = None
-
-    def settle(pairs: DataFrame) -> None:
-        """Confirm pairs that were not tested before and bring the classes up to date."""
-        nonlocal found, tested
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
-        pairs = _shared.written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            return
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        new = _shared.written(confirmed(pairs, plain, width, percent), "links")
-        if new.isEmpty():
-            return
-        # earlier links count as their classes: one edge a document
-        found = _shared.written(_shared.components(new.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))), "components")
+    def settle(new: DataFrame) -> None:
+        """Bring the classes up to date with new links."""
+        nonlocal found
+        new = _shared.written(new, "links")
+        if not new.isEmpty():  # earlier links count as their classes: one edge a document
+            found = _shared.written(_shared.components(new.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))), "components")
+
+    def stars(pairs: DataFrame) -> DataFrame:
+        """The links among pairs of documents and pivots."""
+        return confirmed(_shared.written(_alike(pairs.distinct(), reps, least), "pairs"), plain, width, percent)
 
     level = shared_nodes(_roots(reps, trees))
-    settle(_alike(level.filter("doc_id > low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct(), reps, least))
+    settle(stars(level.filter("doc_id > low").select(F.col("doc_id").alias("a"), F.col("low").alias("b"))))
     for depth in range(DEPTH):
         named = level.join(found, level.doc_id == found.id, "left").select("node", "doc_id", "n", "low", "high", F.coalesce("component", "doc_id").alias("component"))
         named = _shared.written(named, "named")
@@ -275,20 +321,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         blocks = F.ceil(F.col("size") / (LEAF - OUTSIDE))
         dealt = open_.withColumn("block", F.explode(F.expr(f"case when kind = 1 and component <> most then sequence(0L, ceil(size / {LEAF - OUTSIDE}) - 1) else array(0L) end")))
         dealt = dealt.withColumn("block", F.when(F.expr("kind = 1 and component = most"), F.pmod(F.xxhash64("doc_id"), blocks)).otherwise(F.col("block")))
-        pairs = _within(dealt.filter("kind < 2").withColumn("node", F.xxhash64("node", "block")), least)
+        links = _within(dealt.filter("kind < 2").withColumn("node", F.xxhash64("node", "block")), plain, least, width, percent)
         if not last:
             pivot = "low" if depth else "high"  # at first, the smallest was the pivot already
             of_pivot = found.select(F.col("id").alias(pivot), F.col("component").alias("theirs"))
-            star = large.join(of_pivot, pivot, "left").filter(F.col("component") != F.coalesce("theirs", pivot)).select(F.col("doc_id").alias("a"), F.col(pivot).alias("b")).distinct()
-            pairs = pairs.unionByName(_alike(star, reps, least))
-        settle(pairs)
+            star = large.join(of_pivot, pivot, "left").filter(F.col("component") != F.coalesce("theirs", pivot)).select(F.col("doc_id").alias("a"), F.col(pivot).alias("b"))
+            links = links.unionByName(stars(star))
+        settle(links)
         if last:
             break
         if depth == DEPTH - 1:  # compare what is left in blocks of all documents
             split = large.withColumn("k", F.ceil(F.col("n") / (LEAF // 2))).withColumn("block", F.pmod(F.xxhash64("doc_id"), "k"))
             both = split.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
             both = both.withColumn("node", F.xxhash64("node", F.least("block", "with"), F.greatest("block", "with")))
-            settle(_within(both, least))
+            settle(_within(both, plain, least, width, percent))
         level = shared_nodes(_children(large.select("node", "doc_id").join(reps.select("doc_id", "tokens"), "doc_id")))
         if level.isEmpty():
             break
