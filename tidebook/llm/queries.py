@@ -25,6 +25,12 @@ def op2_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeats(_docs(spark, sf_dir))
 
 
+def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import decontaminate
+
+    return decontaminate.contaminated(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("row_digest")
+
+
 def op5_chosen_path_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidebook.llm import chosen_path
 
