@@ -344,3 +344,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = rows.select("doc_id", "n_shingles", F.when(F.expr("doc_id is not null and n_shingles > 0"), F.col("d1")).alias("d1"), "d2")
     out = named.join(of_class, ["d1", "d2"], "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each class of near-duplicates, the one with the smallest id; all columns stay.
+
+    Of rows with the same id one stays; rows without id stay.
+    """
+    rows = _shared.written(near_duplicates(docs, id_col, text_col).select("doc_id", "kept"), "kept")
+    gone = rows.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    out = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    again = rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
+    if again.isEmpty():
+        return out
+    again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
+    same = F.col(id_col).cast("long") == F.col("_again")
+    return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates([id_col]))

@@ -32,6 +32,8 @@ from tidebook.llm import _shared
 Q = 12
 #: Edits allowed, as a share of an item's bytes, and items' bytes whose index is broadcast at once.
 BUDGET, BLOCK_BYTES = 0.05, 8_000_000
+#: Contaminated rows up to this number are broadcast to leave them out (16 bytes each); beyond it, shuffled.
+BROADCAST_ROWS = 2_000_000
 
 _U = np.uint64
 _INSIDE = np.zeros(256, bool)
@@ -234,4 +236,5 @@ def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
     """The rows of ``docs`` in which no item occurs; all columns stay."""
     hit = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("_id"), "row_digest").distinct()
     hit = _shared.written(hit, "contaminated")
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_ROWS else hit
     return docs.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("row_digest")), "left_anti")

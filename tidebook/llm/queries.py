@@ -25,6 +25,14 @@ def op2_gear_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeats(_docs(spark, sf_dir))
 
 
+def op3_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidebook.llm import cotraining
+
+    docs = _docs(spark, sf_dir).select("doc_id", "text", "lang", "source", "n_chars")
+    out = cotraining.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return out.select("doc_id", "score", (F.col("score") >= cotraining.THRESHOLD).alias("kept"))
+
+
 def op4_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidebook.llm import decontaminate
 
