@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidebook.functions import session
+
 #: Update ids in a bucket of the interval join.
 BUCKET = 512
 #: Levels a side of a book that are looked at.
@@ -193,6 +195,7 @@ def replay(events: DataFrame, depth: int = DEPTH, threshold: float = 0.05, resyn
                     symbol, book = name, Book(depth, lossy, threshold, resync)
                 yield replayed_rows(book, part)
 
+    session.importable(events.sparkSession)
     cols = ["symbol", "event_id", "event_type", "side", "price", "quantity", "bids", "asks"]
     rank = F.expr("case event_type when 'TRADE' then 0 when 'BOOK_SNAPSHOT' then 1 else 2 end")
     ordered = events.repartition("symbol").sortWithinPartitions("symbol", F.asc_nulls_first("origin_time"), F.asc_nulls_first("update_id"), rank, "event_id")

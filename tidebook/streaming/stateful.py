@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidebook.functions import session
 from tidebook.operators import book as B
 
 
@@ -32,6 +33,7 @@ def gaps(deltas: DataFrame) -> DataFrame:
         state.update((last,))
         yield pd.DataFrame(out, columns=["symbol", "expected_id", "actual_id", "gap_size"])
 
+    session.importable(deltas.sparkSession)
     return deltas.groupBy("symbol").applyInPandasWithState(step, "symbol string, expected_id long, actual_id long, gap_size long", "last long", "append", GroupStateTimeout.NoTimeout)
 
 
@@ -44,6 +46,7 @@ def replay(events: DataFrame, depth: int = B.DEPTH, threshold: float = 0.05) ->
         yield B.replayed_rows(book, rows)
         state.update((cloudpickle.dumps(book),))
 
+    session.importable(events.sparkSession)
     return events.groupBy("symbol").applyInPandasWithState(step, B.REPLAYED, "book binary", "append", GroupStateTimeout.NoTimeout)
 
 
