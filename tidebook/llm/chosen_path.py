@@ -354,10 +354,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = _shared.written(near_duplicates(docs, id_col, text_col).select("doc_id", "kept"), "kept")
     gone = rows.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    out = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    out = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
     again = rows.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().filter("count > 1").select("_again")
     if again.isEmpty():
         return out
     again = F.broadcast(again) if again.count() <= BROADCAST_IDS else again
-    same = F.col(id_col).cast("long") == F.col("_again")
+    same = out[id_col].cast("long") == again["_again"]
     return out.join(again, same, "left_anti").unionByName(out.join(again, same, "left_semi").dropDuplicates([id_col]))

@@ -228,9 +228,10 @@ def _metadata(docs: DataFrame) -> list:
 def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", score_col: str = "score") -> DataFrame:
     """``docs`` with a further column: the probability (0 to 1) that a document is good.
 
-    ``labels``: id and label (1 good, 0 bad; nulls are left out).
+    ``labels``: id and label (1 good, 0 bad; nulls are left out). A column of the new one's name is replaced.
     """
     spark = docs.sparkSession
+    docs = docs.drop(score_col)
     _shared.tuned(spark)
     model = spark.sparkContext.broadcast(model_of(docs, labels, id_col, text_col, label_col))
     names = docs.columns

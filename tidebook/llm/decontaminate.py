@@ -237,4 +237,4 @@ def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
     hit = contaminated(docs, items, id_col, text_col).select(F.col("doc_id").alias("_id"), "row_digest").distinct()
     hit = _shared.written(hit, "contaminated")
     hit = F.broadcast(hit) if hit.count() <= BROADCAST_ROWS else hit
-    return docs.join(hit, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("row_digest")), "left_anti")
+    return docs.join(hit, docs[id_col].cast("long").eqNullSafe(hit["_id"]) & (F.xxhash64(docs[text_col]) == hit["row_digest"]), "left_anti")
