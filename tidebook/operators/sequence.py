@@ -7,15 +7,27 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import scalars as S
 
+#: Update ids in a range that is windowed on its own.
+SPAN = 65_536
+
 
 def _per(df: DataFrame, key: str, *order: str) -> Window:
     return Window.partitionBy(key).orderBy(*order)
 
 
 def with_gaps(deltas: DataFrame, key: str = "symbol", recovery: int = 1000) -> DataFrame:
-    """Each delta with expected_id, gap (actual - expected; -1 for a duplicate), after_gap and needs_recovery."""
-    prev = F.lag("update_id").over(_per(deltas, key, "update_id", "origin_time"))
-    out = deltas.withColumn("expected_id", prev + 1).withColumn("gap", F.col("update_id") - F.col("expected_id"))
+    """Each delta with expected_id, gap (actual - expected; -1 for a duplicate), after_gap and needs_recovery.
+
+    Ids are cut into ranges of ``SPAN``: rows are windowed within a range, and a range's first
+    row continues from the last id of the range before it, so one busy symbol spreads over tasks.
+    """
+    b = F.expr(f"update_id div {SPAN}")
+    tops = deltas.groupBy(F.col(key), b.alias("_b")).agg(F.max("update_id").alias("_top"))
+    tops = tops.select(key, "_b", F.lag("_top").over(_per(tops, key, "_b")).alias("_before"))
+    inner = Window.partitionBy(key, "_b").orderBy("update_id", "origin_time")
+    rows = deltas.withColumn("_b", b).withColumn("_prev", F.lag("update_id").over(inner)).join(tops, [key, "_b"], "left")
+    out = rows.withColumn("expected_id", F.coalesce("_prev", "_before") + 1).select(*deltas.columns, "expected_id")
+    out = out.withColumn("gap", F.col("update_id") - F.col("expected_id"))
     return out.withColumn("after_gap", F.coalesce(F.col("gap") != 0, F.lit(False))).withColumn("needs_recovery", F.coalesce(F.col("gap") > recovery, F.lit(False)))
 
 
