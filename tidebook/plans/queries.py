@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.functions import scalars as S
-from tidebook.operators import book, quality, sequence, stats, unify
+from tidebook.operators import book, quality, sequence, stats, unify, validators
 from tidebook.plans import market as M
 from tidebook.sources import readers, sinks
 
@@ -435,6 +435,65 @@ def order_flow_imbalance(t):
     return M.trades(t).groupBy("symbol", F.expr("origin_time div 3600000000000").alias("bucket")).agg(F.sum(signed).alias("imbalance"), F.count("*").alias("n"))
 
 
+# ------------------------------------------------------------------- validators
+
+
+@query(f"""select event_id % 3 as regime, count(*) as messages, count(*) filter (u0 > expected) as gaps, round(count(*) filter (u0 > expected) / count(*), 9) as gap_ratio, case when round(count(*) filter (u0 > expected) / count(*), 9) < 0.001 then 'GO' else 'NO-GO' end as decision
+  from (select *, seq as event_id, lag(u1) over (partition by symbol order by seq) + 1 as expected from ranges) group by 1""")
+def golden_regimes(t):
+    r = M.ranges(t).withColumn("regime", F.col("event_id") % 3)
+    return validators.regimes(r, "regime", last="u_last", first="U")
+
+
+@query("""select 'basic_statistics' as validator, (select round(abs(a.m - b.m) / greatest(abs(a.m), 1e-10), 6) <= 0.01 and round(abs(a.s - b.s) / greatest(abs(a.s), 1e-10), 6) <= 0.05 and round(abs(a.d - b.d) / greatest(abs(a.d), 1e-10), 6) <= 0.01
+  from (select round(avg(qty), 6) as m, round(stddev_pop(qty), 6) as s, quantile_cont(qty, 0.5) as d from t where event_id % 2 = 0) a, (select round(avg(qty), 6) as m, round(stddev_pop(qty), 6) as s, quantile_cont(qty, 0.5) as d from t where event_id % 2 = 1) b) as passed
+  union all select 'chronology', true union all select 'sequence_gaps', false""")
+def validation_report(t):
+    x = M.ranges(t).join(t.select("event_id", "qty", "origin_time"), "event_id")
+    v = [validators.BasicStatistics("qty"), validators.Chronology("origin_time"), validators.SequenceGaps(last="u_last", first="U")]
+    return validators.run(t.sparkSession, v, x.filter("event_id % 2 = 0"), x.filter("event_id % 2 = 1")).select("validator", "passed")
+
+
+@query("select symbol, snap_id, k, max(price) filter (side = 'ASK') - max(price) filter (side = 'BID') as spread from (select *, row_number() over (partition by symbol, snap_id, side order by case side when 'BID' then -price else price end) as k from levels) where k in (1, 3, 5) group by 1, 2, 3")
+def level_spreads(t):
+    return validators.spreads(M.levels(M.snapshots(t)), [1, 3, 5])
+
+
+@query("""select symbol, round(regr_slope(change, flow), 9) as kyle_lambda, round(avg(abs(change) / volume), 9) as amihud, count(*) as buckets from (select symbol, flow, volume, close - lag(close) over (partition by symbol order by b) as change
+  from (select symbol, origin_time // 3600000000000 as b, sum(case side when 'BUY' then quantity else -quantity end)::double as flow, sum(quantity)::double as volume, arg_max(price, event_id) as close from trades group by 1, 2)) where change is not null group by 1""")
+def price_impact(t):
+    return validators.impact(M.trades(t), 3_600_000_000_000)
+
+
+@query("select symbol, round(count(*) / 1000.0 * 12 * 1.5, 6)::double as read_gb, round(count(*) / 1000.0 * 12 * 3.25, 6)::double as written_gb from unified group by 1")
+def storage_estimate(t):
+    v = _unified(t).groupBy("symbol").agg((F.count("*") / F.lit(1000.0)).alias("gb_per_month"))
+    return validators.storage(v, 12, 1.5, 3.25)
+
+
+@query("select s.symbol, s.snap_id, count(t.event_id) as trades, coalesce(sum(t.quantity), 0)::bigint as volume from (select symbol, update_id as snap_id, origin_time // 600000000000 as w from snaps) s left join trades t on t.symbol = s.symbol and t.origin_time // 600000000000 = s.w group by 1, 2")
+def snapshot_windows(t):
+    width = 600_000_000_000
+    s = M.snapshots(t).select("symbol", F.col("update_id").alias("snap_id"), F.expr(f"origin_time div {width}").alias("w"))
+    tr = M.trades(t).select("symbol", F.expr(f"origin_time div {width}").alias("w"), "event_id", "quantity")
+    return s.join(tr, ["symbol", "w"], "left").groupBy("symbol", "snap_id").agg(F.count("event_id").alias("trades"), F.coalesce(F.sum("quantity"), F.lit(0)).alias("volume"))
+
+
+@query()
+def hash_routes(t):
+    return _unified(t).groupBy(S.route(F.col("symbol"), 3).alias("worker")).agg(F.count("*").alias("n"))
+
+
+@query("--plain\nselect (id + 1 + (id * 6 // 10000) * ((id * 6 // 10000) + 3) / 2)::bigint as update_id, case when id % 2 = 0 then 'BID' else 'ASK' end as side, (44000 + (id * 37) % 2000)::bigint as price, case when id % 10 = 0 then 0 else (id * 13) % 1000 end::bigint as new_quantity from range(10000) r(id)")
+def synthetic_deltas(spark, sf_dir):
+    return readers.synthetic_deltas(spark, 10_000).drop("origin_time")
+
+
+@query("select event_id, symbol, price, quantity, side from trades where symbol = 'S1' and origin_time between 1704200000000000000 and 1704900000000000000")
+def selected_trades(t):
+    return readers.selected(M.trades(t), "S1", (1_704_200_000_000_000_000, 1_704_900_000_000_000_000)).select("event_id", "symbol", "price", "quantity", "side")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
