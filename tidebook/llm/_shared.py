@@ -167,16 +167,19 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         linked = kept.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         if not large:
             linked = linked.unionByName(low.select("a", F.col("m").alias("b")))
-        return linked.filter("a <> b").distinct()
+        return down(linked)
 
-    e = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    def down(e: DataFrame) -> DataFrame:
+        """Each edge once, from the larger to the smaller end."""
+        return e.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+    e = written(down(edges), "edges")
     print_of = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 998_244_353)).first()
     seen = print_of(e)
     for _ in range(rounds):
         if not seen[0]:
             break
-        # after a large star every edge points from the larger to the smaller end
-        e = written(star(star(e, True).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), False).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+        e = written(star(star(e, True), False), "edges")
         now = print_of(e)
         if now == seen:
             break

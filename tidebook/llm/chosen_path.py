@@ -7,8 +7,8 @@ documents choose the same paths. Small nodes are compared exhaustively on sketch
 every pair that may reach the threshold is then confirmed on its full shingle sets.
 Independent trees are repeated for recall: a pair at the threshold shares
 branching-process paths with mean ``similarity / branch`` (1.25) children a level,
-so one tree loses it with a probability below 0.63 at any depth, and 16 trees below
-0.0007.
+so one tree loses it with a probability below 0.63 at any depth, and 12 trees below
+0.004; pairs whose nodes are small, as nearly all are, below 0.000001.
 
 Large groups stay linear. Exact copies meet first, by a digest of their words, and
 are represented by one document. Nodes of any size then link their documents to a
@@ -38,13 +38,13 @@ from tidebook.llm import _shared
 TOKENS = 64
 #: One-byte minwise marks by which sketches are compared before the full sets are.
 MARKS = 256
-TREES = 16
+TREES = 12
 #: A node's documents select 1 / BRANCH tokens on average.
 BRANCH = 0.6
 #: Nodes of at most so many documents are compared exhaustively. A larger node with at most so
 #: many documents outside its largest class is compared in blocks of that class.
-LEAF = 1024
-OUTSIDE = 256
+LEAF = 2048
+OUTSIDE = 512
 DEPTH = 12
 #: Ids up to this number are broadcast to find their texts (8 bytes each); beyond it the texts are shuffled.
 BROADCAST_IDS = 4_000_000
@@ -158,7 +158,7 @@ def _alike(pairs: DataFrame, sketch: DataFrame, least: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(same >= least))
 
     of = lambda end, name: sketch.select(F.col("doc_id").alias(end), F.col("marks").alias(name))
-    return pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long").distinct()
+    return pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(keep, "a long, b long")
 
 
 def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]]:
@@ -192,8 +192,13 @@ def _others(comps: np.ndarray, marks: np.ndarray, least: int) -> Iterator[tuple[
     _, code, sizes = np.unique(comps, return_inverse=True, return_counts=True)
     most = np.argmax(sizes)
     place = np.arange(len(comps))
+    few = np.ascontiguousarray(marks[:, : MARKS // 4])
+    chance = (least + 4.5 * np.sqrt(MARKS * 0.19)) / MARKS
+    quarter = int(MARKS // 4 * chance - 4.75 * np.sqrt(MARKS // 4 * chance * (1 - chance)))
     for i in np.flatnonzero(code != most):
         j = np.flatnonzero((code != code[i]) & ((code == most) | (place > i)))
+        if len(j) > 64:  # a quarter of the marks rules most out; its bound loses one true pair in a million
+            j = j[(few[j] == few[i]).sum(axis=1) >= quarter]
         j = j[(marks[j] == marks[i]).sum(axis=1) >= least]
         if len(j):
             yield int(i), j
@@ -246,7 +251,7 @@ def _within(rows: DataFrame, docs: DataFrame, least: int, width: int, percent: i
     flagged = _shared.written(dealt.mapInArrow(flag, "node long, doc_id long, component long, marks binary"), "flagged")
     texts = _texts_of(flagged.select("doc_id").distinct(), docs)
     dealt = flagged.join(texts, "doc_id").select("node", "doc_id", "component", "marks", "text").repartition("node").sortWithinPartitions("node", "doc_id")
-    return dealt.mapInArrow(link, "a long, b long").distinct()
+    return dealt.mapInArrow(link, "a long, b long")
 
 
 def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
@@ -270,7 +275,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                 yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     of = lambda end, name: texts.select(F.col("doc_id").alias(end), F.col("text").alias(name))
-    return pairs.join(of("a", "ta"), "a").join(of("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long").distinct()
+    return pairs.join(of("a", "ta"), "a").join(of("b", "tb"), "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75, trees: int = TREES) -> DataFrame:
