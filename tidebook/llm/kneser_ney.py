@@ -39,6 +39,8 @@ from tidebook.llm import _shared
 
 #: Tokens that a task counts before it deals them out.
 RUN = 1_000_000
+#: Hash ranges at most: a worker maps three files of each, and systems allow some 65,000 maps.
+MOST_RANGES = 16_384
 END = np.uint64(0x45C4_8E01_F00D_0001)
 
 _U = np.uint64
@@ -229,7 +231,7 @@ def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
 def trained(texts: DataFrame) -> Model:
     """Count ``texts`` (one column, text) and write the model's arrays to the shared folder."""
     spark = texts.sparkSession
-    ranges = max(8, min(4096, 4 * texts.rdd.getNumPartitions()))
+    ranges = max(8, min(MOST_RANGES, 4 * texts.rdd.getNumPartitions()))
     folder = _local(_shared.shared_dir(spark))
     blank = Model(folder, ranges, np.zeros(ranges + 1, np.int64))
 
