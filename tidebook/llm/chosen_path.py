@@ -316,9 +316,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for depth in range(DEPTH):
         named = level.join(found, level.doc_id == found.id, "left").select("node", "doc_id", "n", "low", "high", F.coalesce("component", "doc_id").alias("component"))
         named = _shared.written(named, "named")
-        by_class = named.groupBy("node", "component").agg(F.count("*").alias("size"))
-        mixed = by_class.groupBy("node").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("classes")).filter("classes > 1")
-        open_ = named.join(mixed.select("node", "top.size", F.col("top.component").alias("most")), "node")
+        pivot = "low" if depth else "high"  # at first, the smallest was the pivot already
+        by_class = named.groupBy("node", "component").agg(F.count("*").alias("size"), F.max(F.col("doc_id") == F.col(pivot)).alias("pivots"))
+        mixed = by_class.groupBy("node").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("classes"), F.max(F.when(F.col("pivots"), F.col("component"))).alias("theirs")).filter("classes > 1")
+        open_ = named.join(mixed.select("node", "top.size", F.col("top.component").alias("most"), "theirs"), "node")
         open_ = _shared.written(open_.withColumn("kind", F.expr(f"case when n <= {LEAF} then 0 when n - size <= {OUTSIDE} then 1 else 2 end")).join(reps.select("doc_id", "marks"), "doc_id"), "open")
         large = open_.filter("kind = 2")
         last = large.isEmpty()
@@ -328,9 +329,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         dealt = dealt.withColumn("block", F.when(F.expr("kind = 1 and component = most"), F.pmod(F.xxhash64("doc_id"), blocks)).otherwise(F.col("block")))
         links = _within(dealt.filter("kind < 2").withColumn("node", F.xxhash64("node", "block")), plain, least, width, percent)
         if not last:
-            pivot = "low" if depth else "high"  # at first, the smallest was the pivot already
-            of_pivot = found.select(F.col("id").alias(pivot), F.col("component").alias("theirs"))
-            star = large.join(of_pivot, pivot, "left").filter(F.col("component") != F.coalesce("theirs", pivot)).select(F.col("doc_id").alias("a"), F.col(pivot).alias("b"))
+            star = large.filter("component <> theirs").select(F.col("doc_id").alias("a"), F.col(pivot).alias("b"))
             links = links.unionByName(stars(star))
         settle(links)
         if last:
