@@ -5,10 +5,12 @@ Trees of nodes branch the documents by selected tokens: in a node, a token is
 selected if a hash of node and token falls below 1 / (branch * TOKENS), so similar
 documents choose the same paths. Small nodes are compared exhaustively on sketches;
 every pair that may reach the threshold is then confirmed on its full shingle sets.
-Independent trees are repeated for recall: a pair at the threshold shares
-branching-process paths with mean ``similarity / branch`` (1.25) children a level,
-so one tree loses it with a probability below 0.63 at any depth, and 12 trees below
-0.004; pairs whose nodes are small, as nearly all are, below 0.000001.
+Trees are repeated for recall: a pair at the threshold shares branching-process paths
+with mean ``similarity / branch`` (1.25) children a level. All trees choose from the same
+``TOKENS`` tokens, so they are independent only given how many of these the pair shares.
+Averaged over that number (binomial with the threshold, 0.75), 16 trees lose a pair with a
+probability below 0.004 (0.0033) in nodes that branch to the last level, 0.0006 in nodes
+that branch six times and 0.00000001 in small nodes, as nearly all are.
 
 Large groups stay linear. Exact copies meet first, by a digest of their words, and
 are represented by one document. Nodes of any size then link their documents to a
@@ -38,7 +40,7 @@ from tidebook.llm import _shared
 TOKENS = 64
 #: One-byte minwise marks by which sketches are compared before the full sets are.
 MARKS = 256
-TREES = 12
+TREES = 16
 #: A node's documents select 1 / BRANCH tokens on average.
 BRANCH = 0.6
 #: Nodes of at most so many documents are compared exhaustively. A larger node with at most so
