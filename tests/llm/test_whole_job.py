@@ -1,8 +1,11 @@
 """Cases in which an operator once did less than the whole job."""
 
 import math
+import random
 
-from tidebook.llm import chosen_path
+import pyarrow as pa
+
+from tidebook.llm import chosen_path, decontaminate
 
 
 def test_trees_keep_the_stated_recall():
@@ -19,3 +22,20 @@ def test_trees_keep_the_stated_recall():
         return out
 
     assert lost(chosen_path.DEPTH) < 0.004 and lost(6) < 0.0006 and lost(1) < 1e-8
+
+
+def test_inserts_and_deletes_up_to_the_budget_are_found():
+    r = random.Random(17)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for size in (40, 85, 160, 240, 320):
+        for _ in range(40):
+            item = "".join(r.choices(letters, k=size))
+            one = decontaminate.index([(1, item)])
+            near = list(item)
+            for _ in range(one.budget(0)):
+                k = r.randrange(len(near))
+                near[k : k + 1] = [near[k], r.choice(letters)] if r.random() < 0.5 else []
+            text = "".join(r.choices(letters, k=r.randint(0, 200))) + "".join(near) + "".join(r.choices(letters, k=50))
+            cost, _, _ = decontaminate.edits(item.encode(), text.encode(), one.budget(0))
+            got = decontaminate.matches(one, pa.array([text]))
+            assert cost <= one.budget(0) and [(k, x[4]) for k, x in enumerate(got)] == [(0, cost)]

@@ -163,19 +163,19 @@ def matches(index_: Index, column: pa.Array) -> list[tuple[int, int, int, int, i
     bound = np.array([max(1, index_.bound(k)) for k in range(len(index_.texts))], np.int64)
     band = (diagonal + (1 << 40)) // width[item]
     found: dict[tuple[int, int], list[tuple[int, int]]] = {}
-    for shift in (0, 1):
-        key = np.stack([row, item, band - shift])
-        order = np.lexsort(key[::-1])
-        key, w = key[:, order], where[order]
-        head = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
-        # distinct places of the text in a band
-        size = np.diff(np.append(head, key.shape[1]))
-        for g in np.flatnonzero(size >= bound[key[1, head]]).tolist():
-            r, k = int(key[0, head[g]]), int(key[1, head[g]])
-            w0 = w[head[g] : head[g] + size[g]]
-            if len(np.unique(w0)) >= bound[k]:
-                first = int((key[2, head[g]]) * width[k] - (1 << 40))  # the band's lowest diagonal
-                found.setdefault((r, k), []).append((first, first + 2 * int(width[k])))
+    # each hit counts in both, so the hits of neighbouring half bands are counted together
+    key = np.concatenate([np.stack([row, item, band]), np.stack([row, item, band - 1])], axis=1)
+    order = np.lexsort(key[::-1])
+    key, w = key[:, order], np.concatenate([where, where])[order]
+    head = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+    # distinct places of the text in a band
+    size = np.diff(np.append(head, key.shape[1]))
+    for g in np.flatnonzero(size >= bound[key[1, head]]).tolist():
+        r, k = int(key[0, head[g]]), int(key[1, head[g]])
+        w0 = w[head[g] : head[g] + size[g]]
+        if len(np.unique(w0)) >= bound[k]:
+            first = int((key[2, head[g]]) * width[k] - (1 << 40))  # the band's lowest diagonal
+            found.setdefault((r, k), []).append((first, first + 2 * int(width[k])))
     body = text.tobytes()
     for (r, k), bands in found.items():
         done: list[tuple[int, int]] = []
