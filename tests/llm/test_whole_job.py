@@ -5,7 +5,7 @@ import random
 
 import pyarrow as pa
 
-from tidebook.llm import chosen_path, decontaminate
+from tidebook.llm import chosen_path, decontaminate, pii
 
 
 def test_trees_keep_the_stated_recall():
@@ -39,3 +39,12 @@ def test_inserts_and_deletes_up_to_the_budget_are_found():
             cost, _, _ = decontaminate.edits(item.encode(), text.encode(), one.budget(0))
             got = decontaminate.matches(one, pa.array([text]))
             assert cost <= one.budget(0) and [(k, x[4]) for k, x in enumerate(got)] == [(0, cost)]
+
+
+def test_redaction_takes_any_number_of_patterns(spark):
+    """21,000 cues, each learned from three addresses; every one announces a secret that no rule describes."""
+    cues = ["q" + "".join("abcdefghij"[int(d)] for d in f"{k:05d}") for k in range(21_000)]
+    rows = [(k // 100, " ".join(f"{c} 10.{k // 256 % 256}.{k % 256}.{n} ," for n in range(3)) + f" {c} {c}9{c}8 ,") for k, c in enumerate(cues)]
+    docs = spark.createDataFrame([(i, " ".join(t for j, t in rows if j == i)) for i in range(0, 210)], "doc_id long, text string")
+    got = {x["doc_id"]: x["text"] for x in pii.redacted(docs).collect()}
+    assert got == {i: " ".join(f"{c} <IP> , {c} <IP> , {c} <IP> , {c} <IDENTIFIER> ," for c in cues[100 * i : 100 * i + 100]) for i in range(210)}

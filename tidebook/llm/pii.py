@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidebook.llm import _shared
 
@@ -194,61 +195,58 @@ def confident_patterns(rows: DataFrame, cues: tuple[str, ...], rounds: int = ROU
 
 
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all base entities of each text replaced by ``<KIND>``; other columns stay, n_chars follows if there is one.
+    """``docs`` with all entities of each text, base and found, replaced by ``<KIND>``; other columns stay, n_chars follows if there is one.
 
-    The rules read each row on its own, and the learned patterns are one small table, so no text is shuffled.
+    The learned patterns are joined as in ``extract`` and may be any number. Only rows that
+    hold an identifier-like token are joined with their spans, so other texts are not shuffled.
     """
     _shared.tuned(docs.sparkSession)
-    patterns = learned(docs, text_col)
     names = docs.columns
+    other, file, place, found = (_unused(n, names) for n in ("_other", "_file", "_place", "_found"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = names.index(text_col)
+        for batch in itertools.chain.from_iterable(_shared.text_slices(b, text_col) for b in batches):
+            texts = (text.as_py() or "" for text in batch.column(k))
+            seen = pa.array([observed(t, base_spans(t)) for t in texts], _OBSERVED_ARROW)
+            yield pa.RecordBatch.from_arrays([*batch.columns, seen], names=[*names, other])
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        good = patterns.value
         k = names.index(text_col)
         for batch in itertools.chain.from_iterable(_shared.text_slices(b, text_col) for b in batches):
             out = []
-            for text in batch.column(k):
+            for text, spans in zip(batch.column(k), batch.column(len(names)), strict=True):
                 t = text.as_py()
-                out.append(None if t is None else cleaned(t, good))
-            columns = [pa.array(out, pa.string()) if i == k else batch.column(i) for i in range(batch.num_columns)]
+                out.append(None if t is None else cleaned(t, [(s["start"], s["end"]) for s in spans.as_py() or ()]))
+            columns = [pa.array(out, pa.string()) if i == k else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = docs.schema
-    out = docs.mapInArrow(replace, schema)
+    with_other = T.StructType([*docs.schema.fields, T.StructField(other, T._parse_datatype_string(_OBSERVED))])
+    rows = _shared.written(docs.mapInArrow(scan, with_other), "instances")
+    good = confident_patterns(rows.select(F.col(other).alias("other")), CUES)
+
+    # rows are told apart by file and place, as in extract
+    keyed = rows.withColumns({file: F.col("_metadata.file_name"), place: F.col("_metadata.row_index")})
+    some = F.exists(other, lambda x: ~x["seed"])
+    hits = keyed.filter(some).select(F.col(file).alias("file"), F.col(place).alias("place"), F.inline(other)).filter("not seed").withColumn("pattern", F.explode("patterns"))
+    hits = hits.join(good, "pattern", "left_semi")
+    spans = hits.groupBy(F.col("file").alias(file), F.col("place").alias(place)).agg(F.collect_set(F.struct("start", "end")).alias(found))  # one row's spans, as many as its text has
+    joined = keyed.filter(some).join(spans, [file, place], "left").select(*names, found)
+    plain = rows.filter(~some).select(*names, F.lit(None).cast(joined.schema[found].dataType).alias(found))
+    out = plain.unionByName(joined).mapInArrow(replace, docs.schema)
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
-#: Confident patterns that a worker holds; the best ones, as the redaction reads rows one by one.
-PATTERNS = 20_000
+def _unused(name: str, names: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {n.lower() for n in names}:
+        name += "_"
+    return name
 
 
-def learned(docs: DataFrame, text_col: str):
-    """A broadcast set of the confident patterns of ``docs`` (raises beyond ``PATTERNS``, a bound on its size)."""
-    spark = docs.sparkSession
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in itertools.chain.from_iterable(_shared.text_slices(b, "text") for b in batches):
-            other = []
-            for text in batch.column(0):
-                t = text.as_py() or ""
-                if found := observed(t, base_spans(t)):
-                    other.append(found)
-            yield pa.RecordBatch.from_arrays([pa.array(other, _OBSERVED_ARROW)], names=["other"])
-
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(scan, f"other {_OBSERVED}")
-    good = confident_patterns(_shared.written(rows, "instances"), CUES)
-    best = [r["pattern"] for r in good.limit(PATTERNS + 1).collect()]
-    if len(best) > PATTERNS:
-        raise ValueError(f"over {PATTERNS} confident patterns; raise PATTERNS or CONFIDENT")
-    return spark.sparkContext.broadcast(frozenset(best))
-
-
-def cleaned(text: str, patterns: frozenset[str]) -> str:
-    """``text`` with base and learned entities replaced by ``<KIND>``; of overlapping spans the first stays, longer ones first."""
-    base = base_spans(text)
-    spans = [(a, -b, k) for k, a, b in base]
-    if _HAS_DIGIT.search(text):
-        spans += [(a, -b, FOUND) for a, b, _, p in instances(text, base) if any(x in patterns for x in p)]
+def cleaned(text: str, found: list[tuple[int, int]]) -> str:
+    """``text`` with base entities and found spans replaced by ``<KIND>``; of overlapping spans the first stays, longer ones first."""
+    spans = [(a, -b, k) for k, a, b in base_spans(text)] + [(a, -b, FOUND) for a, b in found]
     out, at = [], 0
     for a, b, kind in sorted(spans):
         if a >= at:
