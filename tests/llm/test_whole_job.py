@@ -48,3 +48,16 @@ def test_redaction_takes_any_number_of_patterns(spark):
     docs = spark.createDataFrame([(i, " ".join(t for j, t in rows if j == i)) for i in range(0, 210)], "doc_id long, text string")
     got = {x["doc_id"]: x["text"] for x in pii.redacted(docs).collect()}
     assert got == {i: " ".join(f"{c} <IP> , {c} <IP> , {c} <IP> , {c} <IDENTIFIER> ," for c in cues[100 * i : 100 * i + 100]) for i in range(210)}
+
+
+def test_long_secrets_are_found_whole(spark):
+    secrets = ["9b0b3c6a43eb78aa99cb" * 15, "Ab9/" * 200, "x" * 5000 + "7"]
+    docs = spark.createDataFrame([(k, f'token = "{s}" end') for k, s in enumerate(secrets)], "doc_id long, text string")
+    got = {r["doc_id"]: [(s["start"], s["value"]) for s in r["found"]] for r in pii.extract(docs).collect()}
+    assert got == {k: [(9, s)] for k, s in enumerate(secrets)}
+    assert {r["text"] for r in pii.redacted(docs).collect()} == {'token = "<IDENTIFIER>" end'}
+
+
+def test_long_tokens_take_linear_time():
+    for text in ("x" * 400_000 + "1", "x1 " * 100_000, "1x" * 200_000):
+        assert sum(e - s for s, e, _, _ in pii.instances(text, [])) <= len(text)

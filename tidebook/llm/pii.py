@@ -48,7 +48,7 @@ _HAS_DIGIT = re.compile(r"[0-9]")
 _TAIL = re.compile(r"[0-9][A-Za-z0-9_+/-]*")
 _TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/-")
 _BEFORE = re.compile(r"(?:([^\W\d_]{2,24})[ \t]{0,2}([=:#]{0,2})[ \t]{0,2})?([\"']?)\Z")
-_TOKEN_MIN, _TOKEN_MAX = 8, 256
+_TOKEN_MIN = 8
 
 
 def luhn(digits: str) -> bool:
@@ -110,11 +110,11 @@ def instances(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int
     k = 0
     for m in _TAIL.finditer(text):
         start, end = m.span()
-        while start and text[start - 1] in _TOKEN and end - start <= _TOKEN_MAX:
+        while start and text[start - 1] in _TOKEN:  # runs are disjoint: each is walked once
             start -= 1
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        if not _TOKEN_MIN <= end - start <= _TOKEN_MAX or k < len(taken) and taken[k][0] < end:
+        if end - start < _TOKEN_MIN or k < len(taken) and taken[k][0] < end:
             continue
         word, mark, quote = _BEFORE.search(text[max(0, start - 34) : start]).groups()
         token, cue = text[start:end], (word or "").lower()
