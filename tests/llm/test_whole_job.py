@@ -5,7 +5,7 @@ import random
 
 import pyarrow as pa
 
-from tidebook.llm import chosen_path, decontaminate, pii
+from tidebook.llm import chosen_path, decontaminate, licenses, pii
 
 
 def test_trees_keep_the_stated_recall():
@@ -61,3 +61,11 @@ def test_long_secrets_are_found_whole(spark):
 def test_long_tokens_take_linear_time():
     for text in ("x" * 400_000 + "1", "x1 " * 100_000, "1x" * 200_000):
         assert sum(e - s for s, e, _, _ in pii.instances(text, [])) <= len(text)
+
+
+def test_all_notices_of_a_text_are_recognised(spark):
+    of = lambda *labels: ". ".join(t for x, t in licenses.NOTICES if x in labels)
+    sets = [("gpl", "mit", "bsd"), ("gpl", "apache", "mit", "bsd"), tuple(sorted(licenses.KEYS))]
+    docs = spark.createDataFrame([(k, of(*labels)) for k, labels in enumerate(sets)] + [(9, "plain text")] * 50, "doc_id long, text string")
+    got = {r["doc_id"]: r["found"] for r in licenses.scan(docs).collect()}
+    assert got == {0: sorted(sets[0]), 1: sorted(sets[1]), 2: list(sets[2]), 9: []}

@@ -1,9 +1,9 @@
 """License scan by a positional index of rare license words; DataFrame operations only.
 
 Two answers for each text. The base: places where a fixed phrase's words stand
-consecutively. The method: the text's license words with the highest inverse document
-frequency (counted over the whole corpus) look up the postings of notice templates; hits
-of one template vote for the relative position at which the notice would start; the best
+consecutively. The method: the text's license words, all of them and weighted by inverse
+document frequency (counted over the whole corpus), look up the postings of notice templates;
+hits of one template vote for the relative position at which the notice would start; the best
 alignment's share of the template's weight is the score; and a label counts only if a
 mandatory key phrase of it stands in the text.
 
@@ -51,8 +51,8 @@ KEYS = {
 }
 #: Words of notices that say nothing about licenses.
 PLAIN = frozenset("a all and any are as at available by can files for form forms free has in into is it may not of on or org public person program source that the this to under use used v with work www you your 0 1 2 3 4".split())
-#: A text's rarest license words that look up postings, and the share of a notice's weight that must align.
-RAREST, ALIGNED = 16, 0.5
+#: The share of a notice's weight that must align.
+ALIGNED = 0.5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -97,10 +97,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     # a row's identity: its id and the digest of its words
     row = w.select("doc_id", "t", "w", F.xxhash64("t").alias("digest"), "rare")
-    weight = F.create_map(*[F.lit(v) for x in vocabulary for v in (x, idf[x])])
-    rarest = F.slice(F.array_sort(F.transform("rare", lambda x: F.named_struct(F.lit("v"), -weight[x], F.lit("word"), x))), 1, RAREST)
-    hits = row.filter(F.size("rare") >= 1).select("doc_id", "digest", rarest["word"].alias("look"), F.posexplode("w").alias("pos", "word"))
-    hits = hits.filter(F.array_contains("look", F.col("word"))).select("doc_id", "digest", "pos", "word")
+    hits = row.filter(F.size("rare") >= 1).select("doc_id", "digest", F.posexplode("w").alias("pos", "word")).filter(F.col("word").isin(vocabulary))
     votes = hits.join(F.broadcast(index), "word")  # len(NOTICES) notices of some words each
     votes = votes.groupBy("doc_id", "digest", "notice", "label", (F.col("pos") - F.col("place")).alias("begin")).agg(F.collect_set(F.struct("place", "share")).alias("hit"))
     votes = votes.withColumn("score", F.aggregate("hit", F.lit(0.0), lambda a, x: a + x["share"])).filter(F.col("score") >= ALIGNED)
