@@ -3,9 +3,12 @@
 import math
 import random
 
+import numpy as np
 import pyarrow as pa
 
-from tidebook.llm import chosen_path, decontaminate, licenses, pii
+from tidebook.llm import chosen_path, chunk_dedup, decontaminate, licenses, pii
+
+from .conftest import words as made
 
 
 def test_trees_keep_the_stated_recall():
@@ -69,3 +72,23 @@ def test_all_notices_of_a_text_are_recognised(spark):
     docs = spark.createDataFrame([(k, of(*labels)) for k, labels in enumerate(sets)] + [(9, "plain text")] * 50, "doc_id long, text string")
     got = {r["doc_id"]: r["found"] for r in licenses.scan(docs).collect()}
     assert got == {0: sorted(sets[0]), 1: sorted(sets[1]), 2: list(sets[2]), 9: []}
+
+
+def test_repeats_of_little_over_fifty_words_are_caught(spark):
+    r = random.Random(29)
+    rows = []
+    for k in range(0, 800, 2):
+        passage = made(r, r.randint(51, 60))
+        rows += [(k + j, f"{made(r, 60)} {passage} {made(r, 60)}") for j in (0, 1)]
+    caught = {x["doc_id"] for x in chunk_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(caught) >= 796
+
+
+def test_cuts_depend_on_their_row_only():
+    r = random.Random(31)
+    rows = [made(r, r.choice([0, 1, 3, 40, 300])).encode() for _ in range(200)]
+    at = np.cumsum([0, *map(len, rows)])
+    ends = chunk_dedup.chunk_ends(np.frombuffer(b"".join(rows), np.uint8), at)
+    for k, row in enumerate(rows):
+        alone = chunk_dedup.chunk_ends(np.frombuffer(row, np.uint8), np.array([0, len(row)])).tolist() if row else []
+        assert [e - at[k] for e in ends.tolist() if at[k] < e <= at[k + 1]] == alone

@@ -1,8 +1,8 @@
 """Repeated passages by content-defined chunking.
 
-A gear rolling hash over the last 32 bytes of the lower-cased text cuts it into chunks
-where its low bits are zero, so cuts depend on nearby bytes only and an insertion moves no
-cut but those around it. White space runs count as one space. Each chunk is known by its digest and that of the chunk before it
+A gear rolling hash over the last ``WINDOW`` bytes of the lower-cased text cuts it into chunks
+where it is smaller than at ``REACH`` places to either side, so cuts depend on nearby bytes only
+and an insertion moves no cut but those around it. White space runs count as one space. Each chunk is known by its digest and that of the chunk before it
 (a pair of neighbouring chunks, so a short common phrase is no repeat); pairs whose digest
 occurs in several documents are repeats, and maximal runs of repeated chunks that cover
 ``MIN_WORDS`` words are repeated passages. The document with the smallest id keeps the
@@ -27,10 +27,12 @@ from pyspark.sql import functions as F
 
 from tidebook.llm import _shared
 
-#: Chunks end where the low bits of the rolling hash are zero (1 in 2**BITS bytes) and at MAX bytes.
-BITS, MIN, MAX = 5, 16, 64
-#: Words that a run of repeated chunks must cover. A repeat of W words loses a chunk at either
-#: end at most, so with 64 bytes at most (about 10 words each) 50 words keep about 30.
+#: Chunks end where the rolling hash is a strict minimum within its reach, which is less than its window
+#: so that no cut depends on another row, and at MAX bytes (text of a short period has no such minimum).
+WINDOW, REACH, MAX = 16, 15, 128
+#: Words that a run of repeated chunks must cover. A repeat keeps the chunks between its first and
+#: last cut that depend on it alone, which are about WINDOW + 2 * REACH bytes from its start and
+#: 2 * REACH from its end.
 MIN_WORDS = 26
 
 _U = np.uint64
@@ -38,10 +40,10 @@ _GEAR = np.random.default_rng(7).integers(0, 2**63, 256, dtype=np.uint64) * _U(2
 
 
 def gear(raw: np.ndarray) -> np.ndarray:
-    """Gear hash after each byte: the sum of the last 32 bytes' random numbers, the older ones shifted further."""
+    """Gear hash after each byte: the sum of the last ``WINDOW`` bytes' random numbers, the older ones shifted further."""
     h = _GEAR[raw] & _U(0xFFFFFFFF)
     span = 1
-    while span < 32:  # doubling: a window of 2k is two windows of k
+    while span < WINDOW:  # doubling: a window of 2k is two windows of k
         old = h.copy()
         h[span:] += old[:-span] << _U(span)
         span *= 2
@@ -52,13 +54,19 @@ def chunk_ends(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sorted ends of the chunks of all rows."""
     if not len(raw):
         return np.zeros(0, np.int64)
-    # the top bits of the 32-bit window hash see all 32 bytes
-    soft = np.flatnonzero(gear(raw) >> _U(32 - BITS) == 0) + 1
+    h = np.full(len(raw) + 2 * REACH, 0xFFFFFFFF, np.uint32)
+    h[REACH:-REACH] = gear(raw)
+    starts = np.unique(at[:-1])
+    for k in range(WINDOW - 1):  # the window lies within the row
+        h[REACH + starts[starts + k < len(raw)] + k] = 0xFFFFFFFF
+    # minima of spans of REACH places: of 8, then of two that overlap
+    low = h
+    for span in (1, 2, 4):
+        low = np.minimum(low[:-span], low[span:])
+    low = np.minimum(low[: 8 - REACH], low[REACH - 8 :])
+    here = h[REACH:-REACH]
+    soft = np.flatnonzero((here < low[: len(raw)]) & (here < low[REACH + 1 :])) + 1
     hard = np.unique(at[at > 0])
-    row_start = at[np.searchsorted(at, soft, side="left") - 1]
-    soft = soft[(soft - row_start >= 32)]  # the window lies within the row
-    if len(soft):
-        soft = soft[np.diff(soft, prepend=-MIN) >= MIN]
     cuts = np.union1d(soft, hard)
     # what is left too long is cut every MAX bytes
     starts = np.concatenate([[0], cuts[:-1]])
