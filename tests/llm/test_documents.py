@@ -118,11 +118,17 @@ def test_classes_equal_brute_force(docs):
     assert kept.columns == docs.columns and sorted(i for i in ids if i is not None) == sorted({root(i) for i in sets}) and ids.count(None) == 2
 
 
-def test_large_and_mixed_nodes(spark, monkeypatch):
-    """With tiny leaves, branches, blocks of one class and the last level are all used; no link is lost."""
-    monkeypatch.setattr(chosen_path, "LEAF", 8)
-    monkeypatch.setattr(chosen_path, "OUTSIDE", 3)
-    monkeypatch.setattr(chosen_path, "DEPTH", 3)
+LIMITS = (
+    chosen_path.Limits(leaf=8, outside=3, depth=3),  # tasks branch
+    chosen_path.Limits(leaf=8, outside=3, local=16, depth=3, members=5, broadcast=0),  # nodes branch through shuffles, nothing is broadcast
+    chosen_path.Limits(leaf=8, outside=3, local=16, depth=0),  # blocks of all documents
+    chosen_path.Limits(sets=100),  # pair by pair
+)
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_large_and_mixed_nodes(spark, limits):
+    """Whatever way a node takes, no link is lost."""
     r = random.Random(3)
     base = [str(r.randint(0, 10**6)) for _ in range(120)]
     rows = []
@@ -138,10 +144,19 @@ def test_large_and_mixed_nodes(spark, monkeypatch):
             for j in sets:
                 if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
                     top[i] = top[j] = min(top[i], top[j])
-    got = {x["doc_id"]: x["component_id"] for x in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {x["doc_id"]: x["component_id"] for x in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), limits=limits).collect()}
     assert got == top
 
 
+def test_an_id_of_several_texts_links_their_classes(spark):
+    one, two = "a b c d e f g one", "other words in this text here two"
+    docs = spark.createDataFrame([(3, one, "p"), (7, one, "q"), (7, two, "r"), (9, two, "s"), (9, two, "s"), (5, "", "t"), (5, two.upper(), "u")], "doc_id long, text string, source string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in chosen_path.near_duplicates(docs).collect())
+    assert got == [(3, 3, True), (5, 3, False), (5, 5, True), (7, 3, False), (7, 3, False), (9, 3, False), (9, 3, False)]
+    left = sorted(map(tuple, chosen_path.deduplicated(docs).collect()))
+    assert left == [(3, one, "p"), (5, "", "t"), (5, two.upper(), "u")]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = dict(map(tuple, _shared.components(spark.createDataFrame(edges, "a long, b long")).collect()))

@@ -12,19 +12,22 @@ from .conftest import words as made
 
 
 def test_trees_keep_the_stated_recall():
-    """A pair at the threshold, averaged over the tokens that it shares: all trees choose from the same ones."""
-    pick = 1 / (chosen_path.BRANCH * chosen_path.TOKENS)
+    """A pair at the threshold, averaged over the tokens and marks that it shares: all trees choose from the same ones."""
+
+    def chances(n):
+        return [(k, math.comb(n, k) * 0.75**k * 0.25 ** (n - k)) for k in range(n + 1)]
 
     def lost(levels):
         out = 0.0
-        for shared in range(chosen_path.TOKENS + 1):
-            parted = 0.0
+        for marks, p in chances(chosen_path.MARKS):
+            parted, pick = 0.0, 1 / (chosen_path.BRANCH * chosen_path.MARKS)
             for _ in range(levels):
-                parted = (1 - pick + pick * parted) ** shared
-            out += math.comb(chosen_path.TOKENS, shared) * 0.75**shared * 0.25 ** (chosen_path.TOKENS - shared) * parted**chosen_path.TREES
+                parted = (1 - pick + pick * parted) ** marks
+            pick = 1 / (chosen_path.BRANCH * chosen_path.TOKENS)
+            out += p * sum(q * (1 - pick + pick * parted) ** (tokens * chosen_path.TREES) for tokens, q in chances(chosen_path.TOKENS))
         return out
 
-    assert lost(chosen_path.DEPTH) < 0.004 and lost(6) < 0.0006 and lost(1) < 1e-8
+    assert lost(0) < 1e-8 and lost(6) < 0.0003 and lost(chosen_path.Limits().depth) < 0.0008
 
 
 def test_inserts_and_deletes_up_to_the_budget_are_found():

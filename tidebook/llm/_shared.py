@@ -33,9 +33,11 @@ _LOWER[0x41:0x5B] += 32
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A new folder under ``spark.checkpoint.dir``; where that is unset, a temporary one on one machine, as in tests, and an error on a cluster."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         base = "file://" + tempfile.mkdtemp(prefix="tidebook-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tidebook-{uuid.uuid4().hex}"
@@ -150,14 +152,14 @@ def char_index(raw: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------- connected components
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long): id, component (the smallest id reachable).
 
-    Alternating large-star and small-star steps: each step is one grouped
-    minimum, which Spark combines before the shuffle, and one join that adaptive
-    execution splits where a node has very many neighbours. Each round is written
-    to the shared folder. Nulls and loops are left out. Raises if ``rounds`` do not
-    suffice; they grow with the logarithm of the largest diameter.
+    Alternating large-star and small-star steps until the edges form stars: each step is one
+    grouped minimum, which Spark combines before the shuffle, and one join that adaptive
+    execution splits where a node has very many neighbours. Each round is written to the
+    shared folder; rounds grow with the logarithm of the largest diameter. Nulls and loops
+    are left out.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -173,21 +175,22 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         """Each edge once, from the larger to the smaller end."""
         return e.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
+    def settled(e: DataFrame) -> bool:
+        """Whether each node has one smaller neighbour at most, which has none."""
+        ends = e.select(F.col("a").alias("v"), F.lit(1).alias("up")).unionByName(e.select(F.col("b").alias("v"), F.lit(0).alias("up")))
+        return ends.groupBy("v").agg(F.sum("up").alias("s"), F.min("up").alias("m")).filter("s > 1 or s = 1 and m = 0").isEmpty()
+
     e = written(down(edges), "edges")
-    print_of = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_003), F.sum(F.xxhash64("b", "a") % 998_244_353)).first()
-    seen = print_of(e)
-    for _ in range(rounds):
-        if not seen[0]:
-            break
+    while not settled(e):
         e = written(star(star(e, True), False), "edges")
-        now = print_of(e)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    ends = e.groupBy("a").agg(F.min("b").alias("component")).select(F.col("a").alias("id"), "component")
-    return ends.unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+    return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
+
+
+def unused(name: str, names: list[str]) -> str:
+    """``name``, lengthened until no column has it."""
+    while name.lower() in {n.lower() for n in names}:
+        name += "_"
+    return name
 
 
 def tuned(spark: SparkSession) -> None:
