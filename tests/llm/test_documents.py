@@ -214,11 +214,38 @@ def test_edits_equal_a_plain_alignment():
     for _ in range(60):
         item = bytes(r.choice(b"abc") for _ in range(r.randint(1, 12)))
         region = bytes(r.choice(b"abc") for _ in range(r.randint(0, 25)))
-        cost, begin, end = decontaminate.edits(item, region, 12)
+        cost, begin, end = decontaminate.edits(item, region, -12, 25, 12)
         assert cost == distance(item, region)
         assert distance(item, region[begin:end]) == cost
 
 
+def test_the_alignment_keeps_to_its_band():
+    """Against plain dynamic programming over the cells of the band."""
+    r = random.Random(6)
+    for _ in range(200):
+        item = bytes(r.choice(b"ab") for _ in range(r.randint(1, 9)))
+        text = bytes(r.choice(b"ab") for _ in range(r.randint(0, 14)))
+        low = r.randint(-6, 10)
+        high = low + r.randint(0, 5)
+        cells = {(0, j): 0 for j in range(len(text) + 1) if low <= j <= high}
+        for i in range(len(item) + 1):
+            for j in range(len(text) + 1):
+                if low <= j - i <= high:
+                    ways = [cells.get((i - 1, j - 1), 99) + (j > 0 and i > 0 and item[i - 1] != text[j - 1]), cells.get((i - 1, j), 99) + 1, cells.get((i, j - 1), 99) + 1]
+                    cells[i, j] = min(cells.get((i, j), 99), *ways)
+        want = min((v for (i, _), v in cells.items() if i == len(item)), default=99)
+        cost, begin, end = decontaminate.edits(item, text, low, high, 9)
+        assert min(cost, 10) == min(want, 10)
+        assert cost > 9 or distance(item, text[begin:end]) <= cost
+
+
+def test_every_occurrence_of_a_short_item(spark):
+    docs = spark.createDataFrame([(1, "Abc def x, abc-def abc def. xabc def"), (2, "abc"), (3, "def")], "doc_id long, text string")
+    items = spark.createDataFrame([(4, "abc def"), (5, "abc")], "item_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["start"], r["stop"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert got == [(1, 4, 0, 7), (1, 4, 11, 18), (1, 4, 19, 26), (1, 5, 0, 3), (1, 5, 11, 14), (1, 5, 19, 22), (2, 5, 0, 3)]
+
+
 def test_passages_are_found_with_edits(spark, docs, texts):
     item = texts[10]
     near = list(item)

@@ -7,10 +7,11 @@ all on diagonals (text place minus item place) within e of each other. Hits of t
 q-gram index are therefore counted in diagonal bands that overlap by half, each twice as
 wide as the budget; regions that reach the bound are retained and verified by aligning the
 item with the region in a band of e edits to either side. Every occurrence within the
-budget is found; items shorter than ``Q`` bytes are looked up literally.
+budget is found (of occurrences that overlap, the one with the lowest diagonals); all
+occurrences of items shorter than ``Q`` bytes are looked up literally, as whole words.
 
 Items are read in blocks of bounded size (``BLOCK_BYTES``), and each block's index is
-broadcast; all texts are scanned whole for each block.
+broadcast; all texts are scanned whole for each block, so scans grow with the bytes of items.
 
 Nulls: null texts and items contain nothing, null ids stay. Repeated rows each give their
 matches. Empty tables give no rows.
@@ -101,35 +102,46 @@ def index(items: list[tuple[int | None, str]]) -> Index:
     return Index([i for i, _ in rows], [t for _, t in rows], every[order], item[order].astype(np.int32), place[order].astype(np.int32), bitmap, [k for k, h in enumerate(hashes) if not len(h)])
 
 
-def edits(item: bytes, region: bytes, budget: int) -> tuple[int, int, int]:
-    """Fewest edits between the item and a part of the region, up to ``budget`` + 1, and that part's begin and end.
+def edits(item: bytes, text: bytes, lowest: int, highest: int, budget: int) -> tuple[int, int, int]:
+    """Fewest edits between the item and a part of the text, up to ``budget`` + 1, and that part's begin and end.
 
-    Rows of the alignment are computed in the diagonal band that the region leaves; a
-    part may begin and end anywhere in it.
+    Only cells on the diagonals (text place minus item place) from ``lowest`` to ``highest``
+    are computed, a row of the band for each byte of the item; the part may begin and end
+    at any of them.
     """
-    a, b = np.frombuffer(item, np.uint8), np.frombuffer(region, np.uint8)
-    exact = region.find(item)
+    a = np.frombuffer(item, np.uint8)
+    lowest, highest = max(lowest, -len(a)), min(highest, len(text))
+    if lowest > highest:
+        return budget + 1, 0, 0
+    exact = text.find(item, max(lowest, 0), highest + len(a))
     if exact >= 0:
-        return 0, exact, exact + len(item)
-    n = len(b)
-    step = np.arange(n + 1)
-    cost, begin = np.zeros(n + 1, np.int64), step.copy()
+        return 0, exact, exact + len(a)
+    far = 1 << 30  # of cells that no path reaches
+    # text bytes of the band's cells: row i covers places lowest + i to highest + i; 0 stands beyond the text
+    width = highest - lowest + 1
+    b = np.zeros(width + len(a), np.uint8)
+    begin_at, end_at = max(lowest, 0), min(highest + len(a), len(text))
+    b[begin_at - lowest : end_at - lowest] = np.frombuffer(text, np.uint8)[begin_at:end_at]
+    step = np.arange(width)
+    place = lowest + step  # text place before which each cell of the row stands
+    cost, begin = np.where((place >= 0) & (place <= len(text)), 0, far), place.copy()
     for i in range(len(a)):
-        away = np.empty(n + 1, np.int64)
-        start = np.empty(n + 1, np.int64)
-        away[0], start[0] = i + 1, 0
-        across, above = cost[:-1] + (b != a[i]), cost[1:] + 1
-        away[1:] = np.minimum(across, above)
-        start[1:] = np.where(across <= above, begin[:-1], begin[1:])
-        # insertions from the left: a running minimum along the row
+        inside = (place + i >= 0) & (place + i < len(text))
+        across = np.where(inside, cost + (b[i : i + width] != a[i]), far)
+        above = np.append(cost[1:] + 1, far)  # the item's byte is left out
+        away, start = np.minimum(across, above), np.where(across <= above, begin, np.append(begin[1:], 0))
+        away = np.where((place + i + 1 >= 0) & (place + i + 1 <= len(text)), away, far)
+        # text bytes left out: a running minimum along the row
         low = np.minimum.accumulate(away - step)
-        left = low + step
         source = np.maximum.accumulate(np.where(away - step == low, step, 0))
-        begin, cost = start[source], left
+        cost, begin = np.minimum(low + step, far), start[source]
+        cost[(place + i + 1 < 0) | (place + i + 1 > len(text))] = far
         if cost.min() > budget:
             return budget + 1, 0, 0
-    end = int(np.argmin(cost))
-    return int(cost[end]), int(begin[end]), end
+    at = int(np.argmin(cost))
+    if cost[at] > budget:
+        return budget + 1, 0, 0
+    return int(cost[at]), int(begin[at]), int(place[at]) + len(a)
 
 
 def matches(index_: Index, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
@@ -139,12 +151,15 @@ def matches(index_: Index, column: pa.Array) -> list[tuple[int, int, int, int, i
         return []
     text, at, place = normalised(raw, raw_at)
     out = []
+    body = text.tobytes()
     for k in index_.short:
-        t = text.tobytes()
-        for r in range(len(at) - 1):
-            if b" " + index_.texts[k] + b" " in b" " + t[at[r] : at[r + 1]].rstrip(b" ") + b" ":
-                begin = (b" " + t[at[r] : at[r + 1]].rstrip(b" ") + b" ").find(b" " + index_.texts[k] + b" ")
-                out.append((r, k, int(place[at[r] + begin]) - int(raw_at[r]), int(place[at[r] + begin + len(index_.texts[k]) - 1]) + 1 - int(raw_at[r]), 0))
+        item = index_.texts[k]
+        x = body.find(item)
+        while x >= 0:  # whole words of one row; occurrences may overlap
+            r, y = int(np.searchsorted(at, x, side="right")) - 1, x + len(item)
+            if y <= at[r + 1] and (x == at[r] or body[x - 1] == 32) and (y == at[r + 1] or body[y] == 32):
+                out.append((r, k, int(place[x]) - int(raw_at[r]), int(place[y - 1]) + 1 - int(raw_at[r]), 0))
+            x = body.find(item, x + 1)
     h = grams(text)
     hit = np.flatnonzero(index_.bitmap[(h & _U(0xFFFFFF)).astype(np.int64)])
     low, high = (np.searchsorted(index_.hashes, h[hit], side=s) for s in ("left", "right"))
@@ -176,16 +191,15 @@ def matches(index_: Index, column: pa.Array) -> list[tuple[int, int, int, int, i
         if len(np.unique(w0)) >= bound[k]:
             first = int((key[2, head[g]]) * width[k] - (1 << 40))  # the band's lowest diagonal
             found.setdefault((r, k), []).append((first, first + 2 * int(width[k])))
-    body = text.tobytes()
     for (r, k), bands in found.items():
         done: list[tuple[int, int]] = []
+        line, budget = body[at[r] : at[r + 1]], index_.budget(k)
         for lowest, highest in sorted(set(bands)):
-            a = max(0, lowest - index_.budget(k))
-            b = min(int(at[r + 1] - at[r]), highest + len(index_.texts[k]) + index_.budget(k))
-            cost, begin, end = edits(index_.texts[k], body[at[r] + a : at[r] + b], index_.budget(k))
-            if cost <= index_.budget(k) and end > begin and not any(x < a + end and a + begin < y for x, y in done):
-                done.append((a + begin, a + end))
-                out.append((r, k, int(place[at[r] + a + begin]) - int(raw_at[r]), int(place[at[r] + a + end - 1]) + 1 - int(raw_at[r]), cost))
+            # an occurrence's diagonals lie within the budget of those of its hits
+            cost, begin, end = edits(index_.texts[k], line, lowest - budget, highest - 1 + budget, budget)
+            if cost <= budget and end > begin and not any(x < end and begin < y for x, y in done):
+                done.append((begin, end))
+                out.append((r, k, int(place[at[r] + begin]) - int(raw_at[r]), int(place[at[r] + end - 1]) + 1 - int(raw_at[r]), cost))
     return out
 
 
