@@ -2,17 +2,23 @@
 
 A gear rolling hash over the last ``WINDOW`` bytes of the lower-cased text cuts it into chunks
 where it is smaller than at ``REACH`` places to either side, so cuts depend on nearby bytes only
-and an insertion moves no cut but those around it. White space runs count as one space. Each chunk is known by its digest and that of the chunk before it
-(a pair of neighbouring chunks, so a short common phrase is no repeat); pairs whose digest
-occurs in several documents are repeats, and maximal runs of repeated chunks that cover
-``MIN_WORDS`` words are repeated passages. The document with the smallest id keeps the
-passage, the others are told which one that is.
+and an insertion moves no cut but those around it. White space runs count as one space. Each
+chunk is known by its digest and that of the chunk before it (a pair of neighbouring chunks, so
+a short common phrase is no repeat); pairs whose digest occurs in several documents are
+repeats, and maximal runs of repeated chunks that cover ``MIN_WORDS`` words are repeated
+passages. A run is divided where the smallest document that holds its pairs changes: that
+document keeps the part, the others are told which one that is. So a text from which all parts
+are taken that it doesn't keep still stands, chunk by chunk, in some document.
+
+Digests are 64 bits wide and not compared byte by byte: a run of ``MIN_WORDS`` words has
+several of them in a row, so equal digests of different texts make no run.
 
 Digests are counted by one aggregation with map-side sums, and only digests that several
 documents share are joined back, so the hottest passage costs one row for each occurrence.
 
 Nulls: rows without id take no part; null and blank texts have no chunks. Rows that repeat
-an id and text repeat nothing. An empty table gives no rows.
+an id and text count once, different texts of one id are told apart and repeat nothing of
+one another. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -105,13 +111,16 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             if not len(pair):
                 continue
             ids = batch.column(0).to_numpy()[row[pair]]
-            first_of_row = np.searchsorted(row, row[pair])
+            first_chunk = np.searchsorted(row, np.arange(len(at) - 1))
+            first_of_row = first_chunk[row[pair]]
             orig = np.append(place, len(raw))
             begin, stop = orig[starts[pair - 1]], orig[ends[pair] - 1] + 1
             row_begin = at[row[pair]]
             words, before = space[ends[pair]] - space[starts[pair]], space[starts[pair]] - space[starts[pair - 1]]
             span = (chars[begin] - chars[row_begin] << 32) | (chars[stop] - chars[row_begin])
-            info = (pair - first_of_row << 16) | (words << 8) | before
+            whole = np.add.reduceat(_shared.mixed(h + np.arange(len(h), dtype=np.uint64) - first_chunk[row].astype(np.uint64)), first_chunk[np.unique(row)])
+            version = (_shared.mixed(whole) >> _U(48)).astype(np.int64)[np.searchsorted(np.unique(row), row[pair])]
+            info = (pair - first_of_row << 32) | (version << 16) | (words << 8) | before
             digest = _shared.mixed(h[pair - 1] * _U(3) ^ _shared.mixed(h[pair])).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(digest), pa.array(span), pa.array(info)], names=["doc_id", "digest", "span", "info"])
 
@@ -122,24 +131,28 @@ def chunks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Passages that several documents hold: doc_id, start, stop (code points), n_words, first_doc_id, keeps.
 
-    One row for each maximal run of repeated chunks; ``first_doc_id`` is the smallest id that
-    holds the run's first chunks, ``keeps`` whether this row is that document's.
+    One row for each part of a maximal run of repeated chunks; ``first_doc_id`` is the smallest
+    id that holds the part's chunks, ``keeps`` whether this row is that document's. Parts of
+    a text don't overlap; a run covers ``min_words`` words, its parts may be shorter.
     """
     _shared.tuned(docs.sparkSession)
     parts = _shared.written(chunks(docs, id_col, text_col), "chunks")
     shared = parts.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("digest", F.col("low").alias("first_doc_id"))
-    hits = parts.join(shared, "digest").select("doc_id", *_unpacked(), "first_doc_id")
-    # neighbouring hits of a document form a run: k minus its rank stays the same; repeated rows share a place
-    run = F.col("k") - F.dense_rank().over(Window.partitionBy("doc_id").orderBy("k"))
-    copies = F.count("*").over(Window.partitionBy("doc_id", "k"))
-    runs = hits.withColumn("run", run).withColumn("copies", copies).groupBy("doc_id", "run").agg(
-        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min_by("first_doc_id", "k").alias("first_doc_id"),
-        (F.sum(F.col("words") / F.col("copies")) + F.min_by("before", "k")).cast("long").alias("n_words"),
+    hits = parts.join(shared, "digest").select("doc_id", *_unpacked(), "first_doc_id").dropDuplicates(["doc_id", "version", "k"])
+    # neighbouring hits of a document form a run: k minus its rank stays the same
+    text, run = ["doc_id", "version"], ["doc_id", "version", "run"]
+    along = Window.partitionBy(*run).orderBy("k")
+    hits = hits.withColumn("run", F.col("k") - F.row_number().over(Window.partitionBy(*text).orderBy("k")))
+    hits = hits.withColumns({"last_first": F.lag("first_doc_id").over(along), "last_stop": F.lag("stop").over(along)})
+    hits = hits.withColumn("words", F.col("words") + F.when(F.col("last_stop").isNull(), F.col("before")).otherwise(0))
+    hits = hits.withColumns({"part": F.sum((~F.col("first_doc_id").eqNullSafe(F.col("last_first"))).cast("int")).over(along), "run_words": F.sum("words").over(Window.partitionBy(*run))})
+    out = hits.filter(F.col("run_words") >= min_words).groupBy(*run, "part").agg(
+        F.min(F.coalesce("last_stop", "start")).alias("start"), F.max("stop").alias("stop"), F.min("first_doc_id").alias("first_doc_id"), F.sum("words").cast("long").alias("n_words"),
     )
-    return runs.filter(F.col("n_words") >= min_words).select("doc_id", "start", "stop", "n_words", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("keeps"))
+    return out.select("doc_id", "start", "stop", "n_words", "first_doc_id", (F.col("doc_id") == F.col("first_doc_id")).alias("keeps"))
 
 
 def _unpacked() -> list:
-    """k (place of the chunk in its text), start and stop (code points of the pair), words of the chunk and of the one before."""
-    parts = {"k": "info >> 16", "start": "span >> 32", "stop": "span & 4294967295", "words": "(info >> 8) & 255", "before": "info & 255"}
+    """k (place of the chunk in its text), version (of the id's texts), start and stop (code points of the pair), words of the chunk and of the one before."""
+    parts = {"k": "info >> 32", "version": "(info >> 16) & 65535", "start": "span >> 32", "stop": "span & 4294967295", "words": "(info >> 8) & 255", "before": "info & 255"}
     return [F.expr(e).alias(n) for n, e in parts.items()]
