@@ -28,7 +28,8 @@ def texts():
     passage = words(r, 60)
     out += [words(r, 40) + " " + passage + "\n" + words(r, 30) for _ in range(3)]
     out += [words(r, 20) + " a.b-c%1@mail.example.com, 10.0.0.1 or 999.1.1.1 and 4111 1111 1111 1111 +1 (988) 555-2485 " + words(r, 9)]
-    out += [words(r, 15) + ' token = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8" ' + words(r, 5) for _ in range(4)]
+    out += [words(r, 15) + f' token = "{k}b0b3c6a43eb78aa99cbd7049c572391524f37a8" ' + words(r, 5) for k in range(4)]
+    out += [f"{words(r, 12)} {card} {words(r, 8)}" for card in (4111111111111111, 4012888888881881, 5555555555554444, 6011111111111117)]
     out += ["Released under the MIT License. " + words(r, 20), "This work is licensed under the GNU General Public License, version 3.\n" + words(r, 10), "cc by cc-by CC BY"]
     return out
 

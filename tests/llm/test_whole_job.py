@@ -64,9 +64,9 @@ def test_redaction_takes_any_number_of_patterns(spark):
 def test_long_secrets_are_found_whole(spark):
     secrets = ["9b0b3c6a43eb78aa99cb" * 15, "Ab9/" * 200, "x" * 5000 + "7"]
     docs = spark.createDataFrame([(k, f'token = "{s}" end') for k, s in enumerate(secrets)], "doc_id long, text string")
-    got = {r["doc_id"]: [(s["start"], s["value"]) for s in r["found"]] for r in pii.extract(docs).collect()}
+    got = {r["doc_id"]: [(s["start"], s["value"]) for s in r["found"]] for r in pii.extract(docs, cues=("token",)).collect()}
     assert got == {k: [(9, s)] for k, s in enumerate(secrets)}
-    assert {r["text"] for r in pii.redacted(docs).collect()} == {'token = "<IDENTIFIER>" end'}
+    assert {r["text"] for r in pii.redacted(docs, cues=("token",)).collect()} == {'token = "<IDENTIFIER>" end'}
 
 
 def test_long_tokens_take_linear_time():

@@ -1,26 +1,32 @@
 """Personal data by bootstrapped contextual extraction.
 
 Exact rules find the seed entities: e-mail addresses, IPv4 addresses, payment cards that
-pass Luhn's check and international phone numbers. From there on the method learns:
-every seed and every identifier-like token of the corpus (8 characters or more, a digit
-among them) is an instance, the word before it and its shape are its lexical patterns, and
-Spark scores the bipartite graph of patterns and instances for some rounds: a pattern is
-as good as the mean confidence of its instances, an instance as good as its best pattern.
-Patterns of high confidence then discover identifiers that no rule describes.
-
-Two kinds of pattern are induced: the cue word before the entity with its joining mark
-(``token =``, ``password=``, ``phone:``) and the shape of the token itself together with
-that cue. Seeds of their own seldom share a cue with secrets, so a short list of cue
-words serves as further seed patterns (``CUES``); it is a parameter.
+pass Luhn's check and international phone numbers. From there on the method learns. The seeds
+and every identifier-like token of the corpus (8 characters or more, a digit among them) are
+instances; each occurrence has lexical patterns: the word before it with its joining mark
+(``left token =``), the word after it, its form (alphabet and length) and its kind (a token
+of up to 11 or of 12 and more characters). Spark scores the bipartite graph of patterns and
+instances in rounds:
+
+* a pattern is as good as the mean confidence of its instances, where an instance not yet
+  scored counts a fifth, tokens that stand after many different words count as wrong, and
+  so does every place where the pattern's word stands beside an ordinary word;
+* an instance is as good as its patterns together (noisy or); seeds stay at 1.
+
+So seeds induce patterns, patterns promote instances, and these induce further patterns.
+Instances of high confidence are the identifiers that no rule describes. No word list takes
+part; ``cues`` may name words that are trusted from the start (none by default).
 
 Nulls: a null text is empty. Repeated rows each get a result. An empty table gives an
-empty result. Very long texts are read whole; every rule runs in linear time.
+empty result. Very long texts are read whole; every rule runs in linear time. Found spans of
+a text never overlap one another nor the base spans.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,10 +38,15 @@ from tidebook.llm import _shared
 
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "identifier"
-#: Seed patterns: words that announce a personal identifier or a secret.
-CUES = ("password", "passwd", "token", "secret", "passport", "iban", "ssn", "login", "user", "account", "phone", "email", "mobile")
-#: Rounds of scoring; confidence from which a pattern extracts; instances that a pattern needs.
-ROUNDS, CONFIDENT, SUPPORT = 3, 0.7, 3
+#: Rounds of scoring; confidence from which an instance is found; instances that a pattern needs.
+ROUNDS, CONFIDENT, SUPPORT = 4, 0.7, 3
+#: The weight of an instance not yet scored; confidence from which it counts as scored; words
+#: before a token that make it an ordinary one.
+UNKNOWN, SCORED, COMMON = 0.2, 0.5, 8
+#: Patterns up to this number are broadcast (some 60 bytes each); beyond it they are shuffled.
+BROADCAST_ROWS = 500_000
+#: Different words that a task counts before it passes the counts on.
+COUNTED = 200_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -47,8 +58,13 @@ _HAS_DIGIT = re.compile(r"[0-9]")
 #: From a token's first digit on, and the cue word, joining mark and quote before a token.
 _TAIL = re.compile(r"[0-9][A-Za-z0-9_+/-]*")
 _TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/-")
-_BEFORE = re.compile(r"(?:([^\W\d_]{2,24})[ \t]{0,2}([=:#]{0,2})[ \t]{0,2})?([\"']?)\Z")
-_TOKEN_MIN = 8
+_WORD = r"(?<![^\W_])([^\W\d_]{2,24})"
+_BEFORE = re.compile(_WORD + r"(?:[ \t]{1,2}([=:#]{0,2})|([=:#]{1,2}))[ \t]{0,2}[\"']?\Z")
+_AFTER = re.compile(r"[\"']?[ \t]{0,2}([^\W\d_]{2,24})(?![^\W_])")
+#: Every word with what joins it to the next token.
+_JOINED = re.compile(_WORD + r"(?:[ \t]{1,2}([=:#]{0,2})|([=:#]{1,2}))[ \t]{0,2}(?=[\"']?\S)")
+_HEX = frozenset("0123456789abcdef")
+_TOKEN_MIN, _LONG = 8, 12
 
 
 def luhn(digits: str) -> bool:
@@ -97,11 +113,25 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def shape(token: str) -> str:
-    """A token's shape: its character classes and rough length."""
-    letters = ("x" if any(c.islower() for c in token) else "") + ("X" if any(c.isupper() for c in token) else "")
-    digits = sum(c in "0123456789" for c in token)
-    return f"{letters or '-'}{'9' if digits else ''}{'h' if not set(token.lower()) - set('0123456789abcdef') else 'm'}{min(len(token) // 8, 9)}"
+def forms(token: str) -> list[str]:
+    """A token's form (alphabet and length) and kind, as patterns."""
+    if not all(c in _TOKEN for c in token):
+        return ["form " + "".join("9" if c in "0123456789" else "x" if c.isalpha() else c for c in token[:64])]
+    if set(token) <= _HEX:
+        alphabet = "9" if token.isdigit() else "h"
+    else:
+        alphabet = ("x" if any(c.islower() for c in token) else "") + ("X" if any(c.isupper() for c in token) else "") + "9" + "".join(sorted({c for c in token if not c.isalnum()}))
+    return [f"form {alphabet}:{min(len(token), 65)}", "kind long" if len(token) >= _LONG else "kind short"]
+
+
+def context(text: str, start: int, end: int) -> list[str]:
+    """The patterns of the words before and after a place."""
+    out = []
+    if m := _BEFORE.search(text[max(0, start - 34) : start]):
+        out.append(f"left {m[1].lower()} {m[2] or m[3] or ''}")
+    if m := _AFTER.match(text[end : end + 30]):
+        out.append(f"right {m[1].lower()}")
+    return out
 
 
 def instances(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, str, list[str]]]:
@@ -116,20 +146,14 @@ def instances(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int
             k += 1
         if end - start < _TOKEN_MIN or k < len(taken) and taken[k][0] < end:
             continue
-        word, mark, quote = _BEFORE.search(text[max(0, start - 34) : start]).groups()
-        token, cue = text[start:end], (word or "").lower()
-        form = shape(token)
-        yield start, end, token, [f"cue {cue} {mark}", f"form {form} {mark}{quote}"] if cue else [f"form {form} {quote}"]
+        token = text[start:end]
+        yield start, end, token, context(text, start, end) + forms(token)
 
 
 def observed(text: str, base: list[tuple[str, int, int]]) -> list[dict]:
     """Instances of the graph: identifier-like tokens, and the rule-based entities as seeds."""
     out = [{"start": s, "end": e, "value": v, "patterns": p, "seed": False} for s, e, v, p in instances(text, base)] if _HAS_DIGIT.search(text) else []
-    for _, start, end in base:
-        word, mark, _ = _BEFORE.search(text[max(0, start - 34) : start]).groups()
-        if word:
-            out.append({"start": start, "end": end, "value": text[start:end], "patterns": [f"cue {word.lower()} {mark}"], "seed": True})
-    return out
+    return out + [{"start": s, "end": e, "value": text[s:e], "patterns": context(text, s, e) + forms(text[s:e]), "seed": True} for _, s, e in base]
 
 
 _SPANS = "array<struct<kind:string,start:long,end:long,value:string>>"
@@ -138,11 +162,11 @@ _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()),
 _OBSERVED_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string()), ("patterns", pa.list_(pa.string())), ("seed", pa.bool_())]))
 
 
-def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cues: tuple[str, ...] = CUES) -> DataFrame:
+def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cues: tuple[str, ...] = ()) -> DataFrame:
     """All personal data of each row: doc_id, base and found, arrays of (kind, start, end, value).
 
     ``base`` holds the rule-based spans by kind as in ``KINDS``, then start; ``found`` the
-    spans that the learned patterns add, by start. Offsets count code points, the end is exclusive.
+    spans that the method adds, by start. Offsets count code points, the end is exclusive.
     """
     _shared.tuned(docs.sparkSession)
 
@@ -159,50 +183,85 @@ def extract(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cue
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = plain.mapInArrow(scan, f"doc_id long, base {_SPANS}, other {_OBSERVED}")
     rows = _shared.written(rows, "spans")
-    good = confident_patterns(rows, cues)
+    good = confident_instances(rows, joined_words(docs, text_col), cues)
 
-    # what a confident pattern announces, per row (rows are told apart by file and place: repeated rows stay apart)
+    # rows are told apart by file and place: repeated rows stay apart
     keyed = rows.select("doc_id", "base", "other", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
-    hits = keyed.filter(F.size("other") > 0).select("file", "place", F.inline("other")).filter("not seed").withColumn("pattern", F.explode("patterns"))
-    hits = hits.join(good, "pattern", "left_semi").select("file", "place", F.struct(F.lit(FOUND).alias("kind"), "start", "end", "value").alias("span"))
+    hits = keyed.filter(F.size("other") > 0).select("file", "place", F.inline("other")).filter("not seed").withColumn("instance", F.xxhash64("value"))
+    hits = hits.join(good, "instance", "left_semi").select("file", "place", F.struct(F.lit(FOUND).alias("kind"), "start", "end", "value").alias("span"))
     found = hits.groupBy("file", "place").agg(F.array_sort(F.collect_set("span")).alias("found"))  # one row's spans, as many as its text has
     out = keyed.join(found, ["file", "place"], "left")
     return out.select("doc_id", "base", F.coalesce("found", F.expr(f"cast(array() as {_SPANS})")).alias("found"))
 
 
-def confident_patterns(rows: DataFrame, cues: tuple[str, ...], rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
-    """Patterns of high confidence (pattern, confidence), scored on the graph of patterns and instances.
+def joined_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """How often each word stands before something (pattern ``left``) or at all (``right``): pattern, total."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def dealt() -> pa.RecordBatch:
+            left, right = Counter(), Counter()
+            for (word, spaced, close), n in seen.items():
+                left[f"left {word.lower()} {spaced or close or ''}"] += n
+                right[f"right {word.lower()}"] += n
+            every = [*left.items(), *right.items()]
+            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in every], pa.string()), pa.array([n for _, n in every], pa.int64())], names=["pattern", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                for m in _JOINED.finditer(text.as_py() or ""):
+                    seen[m.groups()] += 1
+                if len(seen) > COUNTED:
+                    yield dealt()
+                    seen.clear()
+        yield dealt()
+
+    counted = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "pattern string, n long")
+    return counted.groupBy("pattern").agg(F.sum("n").alias("total"))
 
-    ``rows``: other, as ``extract`` writes it. Edges are counted before they are joined, so a
-    token that a third of the rows hold is one instance. Seeds are the rule-based entities
-    (confidence 1) and the cue patterns; a pattern's confidence is the mean of its instances',
-    damped for few of them, and an instance's is that of the best of its patterns.
+
+def confident_instances(rows: DataFrame, totals: DataFrame, cues: tuple[str, ...] = (), rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
+    """Hashes (instance) of values that reach the confidence on the graph of patterns and instances.
+
+    ``rows``: other, as ``extract`` writes it; ``totals``: pattern, total, as ``joined_words``
+    counts them. Edges are counted before they are joined, so a token that a third of the
+    rows hold is one instance. Context patterns that can't become good, since their word
+    mostly stands beside ordinary words, leave the graph before it is scored.
     """
     spark = rows.sparkSession
-    seen = rows.filter(F.size("other") > 0).select(F.inline("other")).select(F.xxhash64("value").alias("instance"), F.col("seed").cast("double").alias("seed"), F.explode("patterns").alias("pattern"))
-    edges = _shared.written(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    seeds = spark.createDataFrame([(f"cue {c} {m}", 1.0) for c in cues for m in ("", "=", ":")], "pattern string, confidence double")
-    scored = seeds
+    seen = rows.filter(F.size("other") > 0).select(F.inline("other")).select(F.xxhash64("value").alias("instance"), "seed", F.explode("patterns").alias("pattern"))
+    edges = _shared.written(seen.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("times")), "edges")
+    common = edges.filter("pattern like 'left %'").groupBy("instance").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON).select("instance", F.lit(True).alias("common"))
+    trusted = F.col("pattern").isin([f"left {c} {m}" for c in cues for m in ("", "=", ":")])
+    patterns = edges.groupBy("pattern").agg(F.sum("times").alias("held"), F.count("*").alias("instances")).filter((F.col("instances") >= support) | trusted)
+    patterns = patterns.join(totals, "pattern", "left").withColumn("ordinary", F.greatest(F.coalesce("total", F.lit(0)) - F.col("held"), F.lit(0)))
+    patterns = patterns.filter((F.col("held") >= confident / 2 * (F.col("held") + F.col("ordinary"))) | trusted)
+    graph = edges.join(patterns.select("pattern", "instances", "ordinary"), "pattern").join(common, "instance", "left")
+    graph = graph.select("pattern", "instance", "instances", "ordinary", F.expr("case when seed then 1.0D when common then 0.0D end").alias("given"), trusted.alias("trusted"))
+    graph = _shared.written(graph, "graph")
+    scores = spark.createDataFrame([], "instance long, score double")
     for _ in range(rounds):
-        # instance: 1 for a seed, else the best pattern's confidence
-        inst = edges.join(F.broadcast(scored.withColumnRenamed("confidence", "c")) if scored is seeds else scored.withColumnRenamed("confidence", "c"), "pattern", "left")
-        inst = inst.groupBy("instance").agg(F.max(F.greatest(F.coalesce("c", F.lit(0.0)), "seed")).alias("best"))
-        # pattern: the mean over its instances, for enough of them; seed patterns stay seeds
-        pats = edges.join(inst, "instance").groupBy("pattern").agg(F.avg("best").alias("mean"), F.count("*").alias("instances"))
-        pats = pats.filter(F.col("instances") >= support).join(F.broadcast(seeds), "pattern", "left")
-        scored = _shared.written(pats.select("pattern", F.coalesce("confidence", F.col("mean") * F.col("instances") / (F.col("instances") + 1)).alias("confidence")), "patterns")
-    return scored.unionByName(seeds).groupBy("pattern").agg(F.max("confidence").alias("confidence")).filter(F.col("confidence") >= confident)
-
-
-def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        now = graph.join(scores, "instance", "left").withColumn("c", F.coalesce("given", "score"))
+        mean = F.sum(F.coalesce("c", F.lit(0.0))) / (F.sum(F.when(F.col("c").isNull(), UNKNOWN).otherwise(1.0)) + F.max("ordinary"))
+        good = now.groupBy("pattern").agg(F.when(F.max("trusted"), 1.0).otherwise(mean * F.max("instances") / (F.max("instances") + 1)).alias("confidence"))
+        good = _shared.written(good.filter("confidence > 0"), "patterns")
+        good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
+        both = graph.filter("given is null").join(good, "pattern").groupBy("instance")
+        scores = both.agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(0.999)))))).alias("score")).filter(F.col("score") >= SCORED)
+        scores = _shared.written(scores, "scores")
+    return scores.filter(F.col("score") >= confident).select("instance")
+
+
+def redacted(docs: DataFrame, text_col: str = "text", cues: tuple[str, ...] = ()) -> DataFrame:
     """``docs`` with all entities of each text, base and found, replaced by ``<KIND>``; other columns stay, n_chars follows if there is one.
 
-    The learned patterns are joined as in ``extract`` and may be any number. Only rows that
+    The found values are joined as in ``extract`` and may be any number. Only rows that
     hold an identifier-like token are joined with their spans, so other texts are not shuffled.
     """
     _shared.tuned(docs.sparkSession)
     names = docs.columns
-    other, file, place, found = (_unused(n, names) for n in ("_other", "_file", "_place", "_found"))
+    other, file, place, found = (_shared.unused(n, names) for n in ("_other", "_file", "_place", "_found"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = names.index(text_col)
@@ -223,13 +282,13 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     with_other = T.StructType([*docs.schema.fields, T.StructField(other, T._parse_datatype_string(_OBSERVED))])
     rows = _shared.written(docs.mapInArrow(scan, with_other), "instances")
-    good = confident_patterns(rows.select(F.col(other).alias("other")), CUES)
+    good = confident_instances(rows.select(F.col(other).alias("other")), joined_words(docs, text_col), cues)
 
     # rows are told apart by file and place, as in extract
     keyed = rows.withColumns({file: F.col("_metadata.file_name"), place: F.col("_metadata.row_index")})
     some = F.exists(other, lambda x: ~x["seed"])
-    hits = keyed.filter(some).select(F.col(file).alias("file"), F.col(place).alias("place"), F.inline(other)).filter("not seed").withColumn("pattern", F.explode("patterns"))
-    hits = hits.join(good, "pattern", "left_semi")
+    hits = keyed.filter(some).select(F.col(file).alias("file"), F.col(place).alias("place"), F.inline(other)).filter("not seed").withColumn("instance", F.xxhash64("value"))
+    hits = hits.join(good, "instance", "left_semi")
     spans = hits.groupBy(F.col("file").alias(file), F.col("place").alias(place)).agg(F.collect_set(F.struct("start", "end")).alias(found))  # one row's spans, as many as its text has
     joined = keyed.filter(some).join(spans, [file, place], "left").select(*names, found)
     plain = rows.filter(~some).select(*names, F.lit(None).cast(joined.schema[found].dataType).alias(found))
@@ -237,13 +296,6 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return out.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
-def _unused(name: str, names: list[str]) -> str:
-    """``name``, lengthened until no column has it."""
-    while name.lower() in {n.lower() for n in names}:
-        name += "_"
-    return name
-
-
 def cleaned(text: str, found: list[tuple[int, int]]) -> str:
     """``text`` with base entities and found spans replaced by ``<KIND>``; of overlapping spans the first stays, longer ones first."""
     spans = [(a, -b, k) for k, a, b in base_spans(text)] + [(a, -b, FOUND) for a, b in found]
