@@ -31,8 +31,8 @@ from tidebook.llm import _shared
 
 CAPACITY = 2048
 END = 0
-#: Groups in which documents of one length are ranked.
-SALTS = 256
+#: Pieces of one length that one task ranks, about: salts follow from the number of all pieces.
+RANKED = 500_000
 
 
 @lru_cache(maxsize=2)
@@ -157,14 +157,15 @@ def packing_plan(counts: np.ndarray, capacity: int) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
-def packed(parts: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:
+def packed(parts: DataFrame, id_col: str = "doc_id", capacity: int = CAPACITY, ranked_rows: int = RANKED) -> DataFrame:
     """Give each piece its sequence_id and offset; ``parts`` must be a written table with length, piece and ids_crc32.
 
     All columns of ``parts`` stay. Lengths outside 1..capacity raise.
     """
     spark = parts.sparkSession
     keys = [id_col, "piece", "ids_crc32"]
-    salted = parts.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
+    salts = 16 + parts.count() // ranked_rows  # full pieces may all have one length
+    salted = parts.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
     groups = _shared.written(salted.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "lengths")
     counts = np.zeros(capacity + 1, np.int64)
     for n, times in groups.groupBy("length").agg(F.sum("_n")).collect():  # one row for each length: capacity rows at most
