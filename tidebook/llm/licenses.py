@@ -5,7 +5,8 @@ consecutively. The method: the text's license words, all of them and weighted by
 document frequency (counted over the whole corpus), look up the postings of notice templates;
 hits of one template vote for the relative position at which the notice would start; the best
 alignment's share of the template's weight is the score; and a label counts only if a
-mandatory key phrase of it stands in the text.
+mandatory key phrase of it stands in the text. Texts are split once; their license words
+with places are written to the shared folder.
 
 Words are runs of ASCII letters and digits and of all non-ASCII characters, A-Z lower-cased.
 Null and blank texts have no words. Repeated rows each get their result; ids may be null or
@@ -19,6 +20,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidebook.llm import _shared
+
 #: Base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: Notices (label, text): what license headers usually say, in words as the scan splits them.
@@ -73,42 +76,45 @@ def _starts(phrase: str, label: str) -> str:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, places (array of (start, label): base phrases), found (labels that the method confirms), score."""
-    spark = docs.sparkSession
+    """doc_id, n_words, places (array of (start, label): base phrases), found (labels that the method confirms), score.
+
+    ``score`` is the method's own: the best share of a notice that aligns, of the labels whose key phrase stands in the text.
+    """
     vocabulary = sorted({w for _, text in NOTICES for w in text.split()} - PLAIN)
-    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), plain_words(F.col(text_col)).alias("t"))
-    w = t.withColumn("w", F.split(F.trim("t"), " "))
     known = F.array(*[F.lit(x) for x in vocabulary])
-    w = w.withColumn("rare", F.array_intersect("w", known))
+    labels = "array<string>"
+    t = docs.select(F.col(id_col).cast("long").alias("doc_id"), plain_words(F.col(text_col)).alias("t"))
+    w = t.withColumn("w", F.split(F.trim("t"), " ")).withColumn("rare", F.array_intersect("w", known))
+    keys = F.array(*[F.struct(F.lit(f" {p} ").alias("phrase"), F.lit(label).alias("label")) for label, phrases in KEYS.items() for p in phrases])
+    verified = F.array_distinct(F.transform(F.filter(keys, lambda x: F.contains(F.col("t"), x["phrase"])), lambda x: x["label"]))
+    places = F.flatten(F.array(*[F.expr(_starts(p, label)).cast("array<struct<start:long,label:string>>") for p, label in PHRASES.items()]))
+    at = F.filter(F.transform("w", lambda x, i: F.struct(x.alias("word"), i.alias("pos"))), lambda x: x["word"].isin(vocabulary))
+    some = F.size("rare") > 0
+    # the texts are split once; what the index needs of them is written
+    scanned = w.select(
+        "doc_id", F.when(F.col("t") == " ", F.lit(0)).otherwise(F.size("w")).cast("long").alias("n_words"), places.alias("places"), "rare",
+        F.when(some, verified).otherwise(F.array().cast(labels)).alias("verified"), F.when(some, at).otherwise(F.array().cast("array<struct<word:string,pos:int>>")).alias("at"),
+    )
+    scanned = _shared.written(scanned, "scanned").select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
 
     # document frequencies over the whole corpus: a row for each license word
-    counted = w.select(F.explode(F.concat("rare", F.array(F.lit("")))).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
-    df = {r["word"]: r["n"] for r in counted}
-    idf = {x: math.log(1 + (df.get("", 0) + 1) / (df.get(x, 0) + 1)) for x in vocabulary}
+    rows = scanned.count()
+    df = {r["word"]: r["n"] for r in scanned.select(F.explode("rare").alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()}
+    idf = {x: math.log(1 + (rows + 1) / (df.get(x, 0) + 1)) for x in vocabulary}
 
-    # the index: word -> (template, position), with each word's weight
+    # the index: word -> (notice, position), with each word's share of its notice's weight
     postings, whole = [], {}
     for k, (label, text) in enumerate(NOTICES):
         for place, x in enumerate(text.split()):
             if x in idf:
                 postings.append((x, k, label, place, idf[x]))
                 whole[k] = whole.get(k, 0.0) + idf[x]
-    index = spark.createDataFrame([(x, k, label, place, v / whole[k]) for x, k, label, place, v in postings], "word string, notice int, label string, place int, share double")
-
-    # a row's identity: its id and the digest of its words
-    row = w.select("doc_id", "t", "w", F.xxhash64("t").alias("digest"), "rare")
-    hits = row.filter(F.size("rare") >= 1).select("doc_id", "digest", F.posexplode("w").alias("pos", "word")).filter(F.col("word").isin(vocabulary))
-    votes = hits.join(F.broadcast(index), "word")  # len(NOTICES) notices of some words each
-    votes = votes.groupBy("doc_id", "digest", "notice", "label", (F.col("pos") - F.col("place")).alias("begin")).agg(F.collect_set(F.struct("place", "share")).alias("hit"))
-    votes = votes.withColumn("score", F.aggregate("hit", F.lit(0.0), lambda a, x: a + x["share"])).filter(F.col("score") >= ALIGNED)
-    matched = votes.groupBy("doc_id", "digest").agg(F.collect_set("label").alias("aligned"), F.max("score").alias("aligned_score"))
-
-    keys = F.array(*[F.struct(F.lit(f" {p} ").alias("phrase"), F.lit(label).alias("label")) for label, phrases in KEYS.items() for p in phrases])
-    verified = F.when(F.size("rare") >= 1, F.array_distinct(F.transform(F.filter(keys, lambda x: F.contains(F.col("t"), x["phrase"])), lambda x: x["label"]))).otherwise(F.array().cast("array<string>"))
-    places = F.flatten(F.array(*[F.expr(_starts(p, label)).cast("array<struct<start:long,label:string>>") for p, label in PHRASES.items()]))
-    n_words = F.when(F.col("t") == " ", F.lit(0)).otherwise(F.size("w")).cast("long")
-    base = row.select("doc_id", "digest", n_words.alias("n_words"), places.alias("places"), verified.alias("verified"))
-    out = base.join(matched.withColumnsRenamed({"doc_id": "m_id", "digest": "m_digest"}), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("digest") == F.col("m_digest")), "left")
-    found = F.array_sort(F.coalesce(F.array_intersect("aligned", "verified"), F.array().cast("array<string>")))
-    score = F.when(F.size("found") > 0, F.least(F.lit(1.0), "aligned_score")).otherwise(F.lit(0.0))
-    return out.select("doc_id", "n_words", "places", found.alias("found"), "aligned_score").select("doc_id", "n_words", "places", "found", F.coalesce(score, F.lit(0.0)).alias("score"))
+    index = docs.sparkSession.createDataFrame([(x, k, label, place, v / whole[k]) for x, k, label, place, v in postings], "word string, notice int, label string, place int, share double")
+
+    # hits of one notice vote for the place where it would begin
+    hits = scanned.filter(F.size("verified") > 0).select("file", "row", "verified", F.inline("at"))
+    votes = hits.join(F.broadcast(index), "word").filter(F.array_contains("verified", F.col("label")))  # len(NOTICES) notices of some words each
+    votes = votes.groupBy("file", "row", "notice", "label", (F.col("pos") - F.col("place")).alias("begin")).agg(F.least(F.lit(1.0), F.sum("share")).alias("score"))
+    best = votes.groupBy("file", "row").agg(F.collect_set(F.when(F.col("score") >= ALIGNED, F.col("label"))).alias("found"), F.max("score").alias("score"))  # a text's labels
+    out = scanned.join(best, ["file", "row"], "left")
+    return out.select("doc_id", "n_words", "places", F.array_sort(F.coalesce("found", F.array().cast(labels))).alias("found"), F.coalesce("score", F.lit(0.0)).alias("score"))

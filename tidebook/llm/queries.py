@@ -69,7 +69,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     return out.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
-        joined(base).alias("base_labels"), joined(F.concat(base, "found")).alias("labels"), F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.col("score")).alias("score"),
+        joined(base).alias("base_labels"), joined(F.concat(base, "found")).alias("labels"), "score",
     )
 
 
