@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -39,8 +40,10 @@ from tidebook.llm import _shared
 
 #: Tokens that a task counts before it deals them out.
 RUN = 1_000_000
-#: Hash ranges at most: a worker maps three files of each, and systems allow some 65,000 maps.
-MOST_RANGES = 16_384
+#: Hash ranges at most (six files each); at 100 TB of text a range's blocks then take some 400 MB.
+MOST_RANGES = 262_144
+#: Bits of a word number in a pair's key; the context's number within its range has the others.
+WORD_BITS = 40
 END = np.uint64(0x45C4_8E01_F00D_0001)
 
 _U = np.uint64
@@ -67,12 +70,12 @@ def _local(folder: str) -> str:
 def _save(path: str, values: np.ndarray) -> None:
     """Write an array in one step, so that a repeated task leaves one whole file."""
     os.makedirs(os.path.dirname(path), exist_ok=True)
-    part = f"{path}.{os.getpid()}.tmp"
+    part = f"{path}.{uuid.uuid4().hex}.tmp"
     values.tofile(part)
     os.replace(part, path)
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=30_000)  # systems allow some 65,000 maps
 def _mapped(path: str, kind: str) -> np.ndarray:
     return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
 
@@ -132,14 +135,22 @@ class Model:
         r = np.searchsorted(self.base, context, side="right") - 1
         if len(self.hot):
             k = np.minimum(np.searchsorted(self.hot, context), len(self.hot) - 1)
-            spread = self.range_of(_shared.mixed((context.astype(np.uint64) << _U(32)) ^ word.astype(np.uint64)))
+            spread = self.range_of(_shared.mixed(_shared.mixed(context.astype(np.uint64)) ^ word.astype(np.uint64)))
             r = np.where(self.hot[k] == context, spread, r)
         return np.clip(r, 0, self.ranges - 1)
 
+    def pair_keys(self, context: np.ndarray, word: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Keys of pairs within their ranges: the context's number there (spread contexts count from the end) and the word's."""
+        own = context - self.base[r]
+        if len(self.hot):
+            k = np.minimum(np.searchsorted(self.hot, context), len(self.hot) - 1)
+            own = np.where(self.hot[k] == context, (1 << 64 - WORD_BITS) - 1 - k, own)
+        return (own.astype(np.uint64) << _U(WORD_BITS)) | word.astype(np.uint64)
+
     def pair_counts(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """How often the known pairs were seen; in any order."""
-        key = (context.astype(np.uint64) << _U(32)) | word.astype(np.uint64)
         r = self.pair_range(context, word)
+        key = self.pair_keys(context, word, r)
         order = np.lexsort((key, r))
         out = np.zeros(len(key), np.int64)
         for part, a, b in self._by_range(r[order]):
@@ -160,8 +171,8 @@ class Model:
         """Per row: the model's and the base model's log10 probability, and the number of known tokens."""
         types, code = np.unique(h, return_inverse=True)
         number = self.numbers(types)
-        count = self.gather("tally", "<u4", number)
-        cont = self.gather("cont", "<u4", number)
+        count = self.gather("tally", "<u8", number)
+        cont = self.gather("cont", "<u8", number)
         size = self.words + 1
         low = np.where(cont > 0, (cont - self.low_discount[np.minimum(cont, 3)]) / max(self.pairs, 1), 0.0) + self.low_gamma / size
         followers = self.gather("followers", "<u4", number, 3)
@@ -195,7 +206,7 @@ def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     if not len(keys):
         return keys, counts
     order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
+    keys, counts = keys[order], counts[order].astype(np.int64)
     head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
     return keys[head], np.add.reduceat(counts, head)
 
@@ -251,13 +262,16 @@ def trained(texts: DataFrame) -> Model:
         types, n = _merged(*(np.frombuffer(b"".join(blocks[c]), k) for c, k in (("c0", "<u8"), ("c1", "<u4"))))
         n = n.astype(np.int64)
         _save(f"{folder}/words/{r}", types.astype("<u8"))
-        _save(f"{folder}/tally/{r}", np.minimum(n, 2**32 - 1).astype("<u4"))
+        _save(f"{folder}/tally/{r}", n.astype("<u8"))
         top = np.argsort(-n)[:64]
+        top = top[n[top] * 512 >= n.sum()]
         return pd.DataFrame({"range": [r], "types": [len(types)], "tokens": [int(n.sum())], "top": [top.tolist()], "top_n": [n[top].tolist()]})
 
     words = texts.mapInArrow(count_words, "range int, c0 binary, c1 binary").groupBy("range").applyInPandas(merge_words, "range int, types long, tokens long, top array<long>, top_n array<long>")
     stats = {r["range"]: r for r in words.collect()}  # a row a range
     base = np.cumsum([0] + [stats[r]["types"] if r in stats else 0 for r in range(ranges)])
+    if np.diff(base).max() >= 1 << 64 - WORD_BITS - 1:
+        raise ValueError(f"a range has {np.diff(base).max()} different words; more ranges are needed")
     tokens = sum(s["tokens"] for s in stats.values())
     model = Model(folder, ranges, base, tokens, texts.count())
     for r in set(range(ranges)) - set(stats):
@@ -271,27 +285,26 @@ def trained(texts: DataFrame) -> Model:
         m = known.value
         for h, first in _runs(batches):
             types, code = np.unique(h, return_inverse=True)
-            word = m.numbers(types)[code]
-            context = np.append(0, word[:-1])
-            context[first] = m.words
-            key, n = np.unique((context.astype(np.uint64) << _U(32)) | word.astype(np.uint64), return_counts=True)
-            context, word = (key >> _U(32)).astype(np.int64), (key & _U(0xFFFFFFFF)).astype(np.int64)
+            before = np.append(0, code[:-1])
+            before[first] = len(types)  # the start mark
+            pair, n = np.unique((before.astype(np.int64) << 32) | code, return_counts=True)
+            number = np.append(m.numbers(types), m.words)
+            context, word = number[pair >> 32], number[pair & 0xFFFFFFFF]
             r = m.pair_range(context, word)
-            order = np.argsort(r, kind="stable")
-            context, word, n, r = context[order], word[order], n[order], r[order]
+            key = m.pair_keys(context, word, r)
+            order = np.lexsort((key, r))
+            key, n, r = key[order], n[order], r[order]
+            context, word = (key >> _U(WORD_BITS)).astype("<u4"), key & _U((1 << WORD_BITS) - 1)
             for part, a, b in m._by_range(r):
                 head = np.flatnonzero(np.append(True, context[a + 1 : b] != context[a : b - 1]))
                 many = n[a:b] > 254
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32())]
-                    + [pa.array([x.tobytes()], pa.binary()) for x in (context[a:b][head].astype("<u4"), np.diff(np.append(head, b - a)).astype("<u4"), word[a:b].astype("<u4"), np.where(many, 255, n[a:b]).astype("u1"), n[a:b][many].astype("<u4"))],
-                    names=["range", "contexts", "lengths", "words", "counts", "many"],
-                )
+                parts = (context[a:b][head], np.diff(np.append(head, b - a)).astype("<u4"), (word[a:b] & _U(0xFFFFFFFF)).astype("<u4"), (word[a:b] >> _U(32)).astype("u1"), np.where(many, 255, n[a:b]).astype("u1"), n[a:b][many].astype("<u4"))
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32())] + [pa.array([x.tobytes()], pa.binary()) for x in parts], names=["range", "contexts", "lengths", "words", "high", "counts", "many"])
 
     def merge_pairs(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         m, r = known.value, key[0]
         get = lambda c, k: np.frombuffer(b"".join(blocks[c]), k)
-        pairs = (np.repeat(get("contexts", "<u4"), get("lengths", "<u4")).astype(np.uint64) << _U(32)) | get("words", "<u4")
+        pairs = (np.repeat(get("contexts", "<u4"), get("lengths", "<u4")).astype(np.uint64) << _U(WORD_BITS)) | (get("high", "u1").astype(np.uint64) << _U(32)) | get("words", "<u4")
         n = get("counts", "u1").astype(np.int64)
         n[n == 255] = get("many", "<u4")
         pairs, n = _merged(pairs, n)
@@ -299,12 +312,12 @@ def trained(texts: DataFrame) -> Model:
         _save(f"{folder}/pairs/{r}", pairs.astype("<u8"))
         _save(f"{folder}/counts/{r}", np.minimum(n, 255).astype("u1"))
         _save(f"{folder}/many/{r}", np.stack([pairs[many], n[many].astype(np.uint64)], axis=1).astype("<u8"))
-        context, word = (pairs >> _U(32)).astype(np.int64), (pairs & _U(0xFFFFFFFF)).astype(np.int64)
+        context, word = (pairs >> _U(WORD_BITS)).astype(np.int64), (pairs & _U((1 << WORD_BITS) - 1)).astype(np.int64)
         kind = np.minimum(n, 3) - 1
         own = np.zeros((m.base[r + 1] - m.base[r], 3), "<u4")
-        k = np.minimum(np.searchsorted(m.hot, context), len(m.hot) - 1)
-        spread = m.hot[k] == context
-        np.add.at(own, (context[~spread] - m.base[r], kind[~spread]), 1)
+        k = (1 << 64 - WORD_BITS) - 1 - context
+        spread = k < len(m.hot)
+        np.add.at(own, (context[~spread], kind[~spread]), 1)
         _save(f"{folder}/followers/{r}", own)
         shared = np.zeros((len(m.hot), 3), np.int64)
         np.add.at(shared, (k[spread], kind[spread]), 1)
@@ -315,12 +328,12 @@ def trained(texts: DataFrame) -> Model:
         seen = [int((n == c).sum()) for c in range(1, 5)]
         return pd.DataFrame(
             {
-                "range": [-1] + [p for p, _, _ in parts], "words": [b""] + [types[a:b].astype("<u4").tobytes() for _, a, b in parts], "times": [b""] + [times[a:b].astype("<u4").tobytes() for _, a, b in parts],
+                "range": [-1] + [p for p, _, _ in parts], "words": [b""] + [(types[a:b] - m.base[p]).astype("<u4").tobytes() for p, a, b in parts], "times": [b""] + [times[a:b].astype("<u4").tobytes() for _, a, b in parts],
                 "seen": [seen] + [[]] * len(parts), "hot": [shared.ravel().tolist()] + [[]] * len(parts),
             }
         )
 
-    pairs = texts.mapInArrow(count_pairs, "range int, contexts binary, lengths binary, words binary, counts binary, many binary")
+    pairs = texts.mapInArrow(count_pairs, "range int, contexts binary, lengths binary, words binary, high binary, counts binary, many binary")
     merged = _shared.written(pairs.groupBy("range").applyInPandas(merge_pairs, "range int, words binary, times binary, seen array<long>, hot array<long>"), "contexts")
     sums = merged.filter("range = -1").select(F.posexplode(F.concat("seen", "hot")).alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()  # a number for each hot context
     total = np.zeros(4 + 3 * len(model.hot), np.int64)
@@ -331,7 +344,7 @@ def trained(texts: DataFrame) -> Model:
     def merge_contexts(key: tuple, blocks: pd.DataFrame) -> pd.DataFrame:
         m, r = known.value, key[0]
         word, times = (np.frombuffer(b"".join(blocks[c]), "<u4").astype(np.int64) for c in ("words", "times"))
-        cont = np.bincount(word - m.base[r], times, m.base[r + 1] - m.base[r]).astype("<u4")
+        cont = np.bincount(word, times, m.base[r + 1] - m.base[r]).astype("<u8")
         _save(f"{folder}/cont/{r}", cont)
         return pd.DataFrame({"seen": [[int((cont == c).sum()) for c in range(1, 5)] + [int((cont >= 3).sum()), int(cont.sum())]]})
 
@@ -340,7 +353,7 @@ def trained(texts: DataFrame) -> Model:
     model.low_discount, model.pairs = _discounts(n[:4]), int(n[5])
     model.low_gamma = float(model.low_discount[1:] @ [n[0], n[1], n[4]]) / model.pairs if model.pairs else 1.0
     for r in range(ranges):  # ranges that nothing fell into
-        for name, width in (("pairs", 0), ("counts", 0), ("many", 0), ("followers", 12), ("cont", 4)):
+        for name, width in (("pairs", 0), ("counts", 0), ("many", 0), ("followers", 12), ("cont", 8)):
             if not os.path.exists(path := f"{folder}/{name}/{r}"):
                 _save(path, np.zeros(width * int(base[r + 1] - base[r]), np.uint8))
     return model
