@@ -138,7 +138,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     _shared.tuned(docs.sparkSession)
     parts = _shared.written(chunks(docs, id_col, text_col), "chunks")
     shared = parts.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("digest", F.col("low").alias("first_doc_id"))
-    hits = parts.join(shared, "digest").select("doc_id", *_unpacked(), "first_doc_id").dropDuplicates(["doc_id", "version", "k"])
+    # rows stay packed on their way; repeated rows of an id share all numbers
+    hits = parts.join(shared, "digest").select("doc_id", "span", "info", "first_doc_id").dropDuplicates(["doc_id", "info"])
+    hits = hits.withColumn("version", F.expr("cast((info >> 16) & 65535 as int)")).repartition("doc_id", "version").select("doc_id", "version", *_unpacked(), "first_doc_id")
     # neighbouring hits of a document form a run: k minus its rank stays the same
     text, run = ["doc_id", "version"], ["doc_id", "version", "run"]
     along = Window.partitionBy(*run).orderBy("k")
@@ -153,6 +155,6 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
 
 def _unpacked() -> list:
-    """k (place of the chunk in its text), version (of the id's texts), start and stop (code points of the pair), words of the chunk and of the one before."""
-    parts = {"k": "info >> 32", "version": "(info >> 16) & 65535", "start": "span >> 32", "stop": "span & 4294967295", "words": "(info >> 8) & 255", "before": "info & 255"}
+    """k (place of the chunk in its text), start and stop (code points of the pair), words of the chunk and of the one before."""
+    parts = {"k": "info >> 32", "start": "span >> 32", "stop": "span & 4294967295", "words": "(info >> 8) & 255", "before": "info & 255"}
     return [F.expr(e).alias(n) for n, e in parts.items()]
