@@ -29,13 +29,12 @@ def scaled_to_decimal(value: Column) -> Column:
 
 def decimal_to_scaled(value: Column) -> Column:
     """A decimal as a scaled long; digits beyond the eighth are rounded half to even."""
-    return F.bround(value.cast("decimal(28,10)") * F.lit(SCALE).cast("decimal(10,0)"), 0).cast("long")
+    return (F.bround(value.cast(DECIMAL), 8).cast("decimal(28,8)") * F.lit(SCALE).cast("decimal(10,0)")).cast("long")
 
 
 def mid_price(bid: Column, ask: Column) -> Column:
     """Floor of the mean of two longs (rounds down for negative sums too); null if a side is missing."""
-    total = bid + ask
-    return (total - F.pmod(total, F.lit(2))) / F.lit(2)
+    return F.shiftright((bid + ask).cast("long"), 1)
 
 
 def spread(bid: Column, ask: Column) -> Column:
@@ -94,6 +93,17 @@ def levels(raw: Column) -> Column:
     return F.transform(raw, lambda x: F.struct(F.get(x, F.lit(0)).alias("price"), F.get(x, F.lit(1)).alias("quantity")))
 
 
+def levels_of_maps(raw: Column) -> Column:
+    """Levels given as maps with price or p and quantity, q or size become structs."""
+    first = lambda x, *names: F.coalesce(*[F.try_element_at(x, F.lit(n)) for n in names])
+    return F.transform(raw, lambda x: F.struct(first(x, "price", "p").alias("price"), first(x, "quantity", "q", "size").alias("quantity")))
+
+
+def epoch_timestamp(nanos: Column) -> Column:
+    """A time in nanoseconds as a timestamp, to the microsecond (rounded down)."""
+    return F.timestamp_micros(((nanos - F.pmod(nanos, F.lit(1000))) / F.lit(1000)).cast("long"))
+
+
 def wide_levels(columns: list[str], side: str) -> Column:
     """Levels from wide columns, in any of the spellings bid_0_price/_size, bid_0_price/_amount and bid_price_0/bid_quantity_0."""
     out = []
@@ -140,8 +150,11 @@ def path_date(path: Column) -> Column:
 
 def hour_path(nanos: Column) -> Column:
     """UTC hour of a time in nanoseconds, as YYYY/MM/DD/HH."""
-    days = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(nanos / F.lit(86_400_000_000_000)).cast("int"))
-    hour = F.floor(F.pmod(nanos, F.lit(86_400_000_000_000)) / F.lit(3_600_000_000_000)).cast("int")
+    day, hour_ = F.lit(86_400_000_000_000), F.lit(3_600_000_000_000)
+    within = F.pmod(nanos.cast("long"), day)
+    # multiples of a day and remainders below one are exact as doubles; nanoseconds since the epoch are not
+    days = F.date_add(F.lit("1970-01-01").cast("date"), ((nanos - within) / day).cast("int"))
+    hour = ((within - F.pmod(within, hour_)) / hour_).cast("int")
     return F.concat(F.date_format(days, "yyyy/MM/dd/"), F.lpad(hour.cast("string"), 2, "0"))
 
 

@@ -1,15 +1,21 @@
-"""The order book after every event: as validity intervals (deltas only) and as a fold (all events).
+"""The order book after every event: from deltas by ranges of update ids, and as a fold of all events.
 
-The interval form is relational. A delta sets its price level until the next delta of the
-same level; a bucketed join finds the levels that live at each delta. It spreads over price
-levels and id buckets, so one busy symbol does not bind it to one task. The fold also knows
+Deltas alone set levels, so the book at the beginning of a range of ids is the last quantity of
+each level before it: a grouped maximum. Ranges are then folded independently, each from its
+own first state, so one busy symbol spreads over as many tasks as it has ranges and no level
+meets more deltas than those of its own range. The fold of all events also knows
 snapshots and trades, whose effect depends on the book; it reads each symbol's events in
 order as a stream of Arrow batches and holds the book, never the group.
+
+Deltas with a null side, price or quantity change nothing and give a row. Deltas of one id
+apply in the order of side and price. A null symbol is a symbol of its own. Empty tables
+give empty results.
 """
 
 from __future__ import annotations
 
 import bisect
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tidebook.functions import session
 
-#: Update ids in a bucket of the interval join.
-BUCKET = 512
+#: Update ids in a range that is folded on its own.
+SPAN = 65_536
 #: Levels a side of a book that are looked at.
 DEPTH = 20
 
@@ -31,20 +37,70 @@ def level_intervals(deltas: DataFrame) -> DataFrame:
     return deltas.select("symbol", "side", "price", F.col("new_quantity").alias("quantity"), F.col("update_id").alias("begin"), F.lead("update_id").over(w).alias("end"))
 
 
+def _folded(deltas: DataFrame, probes: DataFrame | None = None) -> DataFrame:
+    """Rows of ranges for a fold: symbol, part, update_id (null: the range's first state), side, price, quantity, probe."""
+    part = F.expr(f"update_id div {SPAN}")
+    rows = deltas.select("symbol", part.alias("part"), "update_id", "side", "price", F.col("new_quantity").alias("quantity"), F.lit(False).alias("probe"))
+    at = probes.select("symbol", part.alias("part"), "update_id", F.lit(None).cast("string").alias("side"), F.lit(None).cast("long").alias("price"), F.lit(None).cast("long").alias("quantity"), F.lit(True).alias("probe")) if probes is not None else rows.limit(0)
+    needed = (at if probes is not None else rows).groupBy(F.struct("symbol").alias("key")).agg(F.max("part").alias("top"))
+    last = rows.filter("side is not null and price is not null and quantity is not null").groupBy("symbol", "side", "price", "part").agg(F.max_by("quantity", "update_id").alias("quantity"))
+    last = last.withColumn("next", F.lead("part").over(Window.partitionBy("symbol", "side", "price").orderBy("part"))).filter("quantity > 0").withColumn("key", F.struct("symbol"))
+    first = last.join(F.broadcast(needed), "key").withColumn("end", F.least(F.coalesce("next", "top"), "top")).filter("part < end")  # one row a symbol
+    first = first.select("symbol", F.expr("explode(sequence(part + 1, end))").alias("part"), F.lit(None).cast("long").alias("update_id"), "side", "price", "quantity", F.lit(False).alias("probe"))
+    return first.unionByName(rows).unionByName(at)
+
+
+class _Half:
+    """One side of a book that knows its best price: a heap whose removed prices are passed over later."""
+
+    def __init__(self, sign: int):
+        self.sign, self.level, self.heap, self.volume = sign, {}, [], 0
+
+    def set(self, price: int, quantity: int) -> None:
+        old = self.level.pop(price, None)
+        self.volume += max(quantity, 0) - (old or 0)
+        if quantity > 0:
+            self.level[price] = quantity
+            if old is None:
+                heapq.heappush(self.heap, self.sign * price)
+
+    def best(self) -> int | None:
+        while self.heap and self.sign * self.heap[0] not in self.level:
+            heapq.heappop(self.heap)
+        return self.sign * self.heap[0] if self.heap else None
+
+    def top(self, depth: int) -> list[tuple[int, int]]:
+        return [(p, self.level[p]) for p in heapq.nsmallest(depth, self.level, key=lambda p: self.sign * p)]
+
+
+def _steps(rows: pd.DataFrame) -> Iterator[tuple[int, bool, _Half, _Half]]:
+    """(update_id, probe, bids, asks) after each row of a range, its first state aside."""
+    sides = {"BID": _Half(-1), "ASK": _Half(1)}
+    start = rows["update_id"].isna()
+    for side, price, quantity in zip(*(rows.loc[start, c].tolist() for c in ("side", "price", "quantity")), strict=True):
+        sides[side].set(int(price), int(quantity))
+    rest = rows.loc[~start].sort_values(["update_id", "probe", "side", "price"], kind="stable")
+    whole = rest["price"].notna() & rest["quantity"].notna()
+    for update_id, probe, side, price, quantity, ok in zip(rest["update_id"].tolist(), rest["probe"].tolist(), rest["side"].tolist(), rest["price"].tolist(), rest["quantity"].tolist(), whole.tolist(), strict=True):
+        if ok and side in sides:
+            sides[side].set(int(price), int(quantity))
+        yield int(update_id), probe, sides["BID"], sides["ASK"]
+
+
+TOP = "symbol string, update_id long, best_bid long, best_ask long, bid_depth long, ask_depth long, bid_volume long, ask_volume long"
+
+
 def top_of_book(deltas: DataFrame) -> DataFrame:
     """After each delta: best bid and ask (null for an empty side) and the number and volume of levels of each side."""
-    last = deltas.groupBy("symbol").agg(F.max("update_id").alias("_last"))
-    live = level_intervals(deltas).filter("quantity > 0").join(F.broadcast(last), "symbol").withColumn("end", F.coalesce("end", F.col("_last") + 1))
-    live = live.withColumn("_b", F.explode(F.expr(f"sequence(begin div {BUCKET}, (end - 1) div {BUCKET})"))).select("symbol", "_b", F.col("side").alias("l_side"), F.col("price").alias("l_price"), "quantity", "begin", "end")
-    at = deltas.select("symbol", "update_id", F.expr(f"update_id div {BUCKET}").alias("_b"))
-    j = at.join(live, ["symbol", "_b"]).filter("begin <= update_id and update_id < end")
-    bid, ask = F.col("l_side") == "BID", F.col("l_side") == "ASK"
-    top = j.groupBy("symbol", "update_id").agg(
-        F.max(F.when(bid, F.col("l_price"))).alias("best_bid"), F.min(F.when(ask, F.col("l_price"))).alias("best_ask"), F.count_if(bid).alias("bid_depth"), F.count_if(ask).alias("ask_depth"),
-        F.sum(F.when(bid, F.col("quantity")).otherwise(0)).alias("bid_volume"), F.sum(F.when(ask, F.col("quantity")).otherwise(0)).alias("ask_volume"),
-    )
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return deltas.select("symbol", "update_id").join(top, ["symbol", "update_id"], "left").select("symbol", "update_id", "best_bid", "best_ask", *[zero(c) for c in ("bid_depth", "ask_depth", "bid_volume", "ask_volume")])
+
+    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = [(n, b.best(), a.best(), len(b.level), len(a.level), b.volume, a.volume) for n, _, b, a in _steps(rows)]
+        frame = pd.DataFrame(out, columns=[c.split()[0] for c in TOP.split(", ")][1:])
+        frame.insert(0, "symbol", key[0])
+        return frame.astype({"best_bid": "Int64", "best_ask": "Int64"})
+
+    session.importable(deltas.sparkSession)
+    return _folded(deltas).groupBy("symbol", "part").applyInPandas(fold, TOP)
 
 
 def final_book(deltas: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -191,6 +247,7 @@ def replay(events: DataFrame, depth: int = DEPTH, threshold: float = 0.05, resyn
         symbol, book = None, None
         for rows in batches:
             for name, part in rows.groupby("symbol", sort=False, dropna=False):
+                name = None if pd.isna(name) else name  # a null symbol equals itself
                 if name != symbol or book is None:
                     symbol, book = name, Book(depth, lossy, threshold, resync)
                 yield replayed_rows(book, part)
@@ -229,13 +286,15 @@ def rank_drift(book: DataFrame, snapshot: DataFrame) -> DataFrame:
     return j.groupBy("symbol", "snap_id", "side").agg(F.sum(F.abs(F.col("bp") - F.col("sp"))).alias("price_l1"), F.sum(F.abs(F.col("bq") - F.col("sq"))).alias("quantity_l1"), F.count("*").alias("levels"))
 
 
+LEVELS = "symbol string, snap_id long, side string, price long, quantity long"
+
+
 def book_at(deltas: DataFrame, snapshots: DataFrame, depth: int = DEPTH) -> DataFrame:
     """The best ``depth`` levels a side at each snapshot (symbol, snap_id = its update id), from deltas only."""
-    last = snapshots.groupBy("symbol").agg((F.max("update_id") + 1).alias("_last"))
-    live = level_intervals(deltas).filter("quantity > 0").join(F.broadcast(last), "symbol").withColumn("end", F.coalesce("end", "_last")).filter("begin < end")
-    live = live.withColumn("_b", F.explode(F.expr(f"sequence(begin div {BUCKET}, (end - 1) div {BUCKET})")))
-    at = snapshots.select("symbol", F.col("update_id").alias("snap_id"), F.expr(f"update_id div {BUCKET}").alias("_b"))
-    j = at.join(live, ["symbol", "_b"]).filter("begin <= snap_id and snap_id < end")
-    best = F.when(F.col("side") == "BID", -F.col("price")).otherwise(F.col("price"))
-    j = j.withColumn("_r", F.row_number().over(Window.partitionBy("symbol", "snap_id", "side").orderBy(best))).filter(F.col("_r") <= depth)
-    return j.select("symbol", "snap_id", "side", "price", "quantity")
+
+    def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        out = [(key[0], n, side, p, q) for n, probe, b, a in _steps(rows) if probe for side, half in (("BID", b), ("ASK", a)) for p, q in half.top(depth)]
+        return pd.DataFrame(out, columns=[c.split()[0] for c in LEVELS.split(", ")])
+
+    session.importable(deltas.sparkSession)
+    return _folded(deltas, snapshots).groupBy("symbol", "part").applyInPandas(fold, LEVELS)

@@ -6,27 +6,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidebook.functions import scalars as S
-
-#: Update ids in a range that is windowed on its own.
-SPAN = 65_536
-
-
-def _per(df: DataFrame, key: str, *order: str) -> Window:
-    return Window.partitionBy(key).orderBy(*order)
+from tidebook.operators import ranges
 
 
 def with_gaps(deltas: DataFrame, key: str = "symbol", recovery: int = 1000) -> DataFrame:
     """Each delta with expected_id, gap (actual - expected; -1 for a duplicate), after_gap and needs_recovery.
 
-    Ids are cut into ranges of ``SPAN``: rows are windowed within a range, and a range's first
-    row continues from the last id of the range before it, so one busy symbol spreads over tasks.
+    Order is by id, then time; null ids come first and have no gap. Symbols may be null.
     """
-    b = F.expr(f"update_id div {SPAN}")
-    tops = deltas.groupBy(F.col(key), b.alias("_b")).agg(F.max("update_id").alias("_top"))
-    tops = tops.select(key, "_b", F.lag("_top").over(_per(tops, key, "_b")).alias("_before"))
-    inner = Window.partitionBy(key, "_b").orderBy("update_id", "origin_time")
-    rows = deltas.withColumn("_b", b).withColumn("_prev", F.lag("update_id").over(inner)).join(tops, [key, "_b"], "left")
-    out = rows.withColumn("expected_id", F.coalesce("_prev", "_before") + 1).select(*deltas.columns, "expected_id")
+    out = ranges.lagged(deltas, {"_prev": "update_id"}, "update_id", key, [c for c in ("origin_time",) if c in deltas.columns])
+    out = out.withColumn("expected_id", F.col("_prev") + 1).drop("_prev")
     out = out.withColumn("gap", F.col("update_id") - F.col("expected_id"))
     return out.withColumn("after_gap", F.coalesce(F.col("gap") != 0, F.lit(False))).withColumn("needs_recovery", F.coalesce(F.col("gap") > recovery, F.lit(False)))
 
@@ -53,15 +42,14 @@ def gap_histogram(deltas: DataFrame, bucket: bool = False, key: str = "symbol")
 
 def range_gaps(updates: DataFrame, key: str = "symbol", order: str = "seq", first: str = "first_id", last: str = "final_id") -> DataFrame:
     """Updates with first and last id: those whose first id is not the last id before plus 1; gap or out_of_order."""
-    expected = F.lag(last).over(_per(updates, key, order)) + 1
-    out = updates.withColumn("expected", expected).filter(F.col(first) != F.col("expected"))
+    out = ranges.lagged(updates, {"_prev": last}, order, key).withColumn("expected", F.col("_prev") + 1).drop("_prev")
+    out = out.filter(F.col(first) != F.col("expected"))
     return out.withColumn("kind", F.when(F.col(first) > F.col("expected"), "gap").otherwise("out_of_order")).withColumn("size", F.abs(F.col(first) - F.col("expected")))
 
 
 def chronology(df: DataFrame, time: str, order: str, key: str) -> DataFrame:
     """Per key: rows, rows earlier than the row before, largest step back, and whether it is sorted."""
-    back = F.lag(time).over(_per(df, key, order)) - F.col(time)
-    g = df.withColumn("_back", back).groupBy(key).agg(F.count("*").alias("rows"), F.count_if(F.col("_back") > 0).alias("out_of_order"), F.greatest(F.max("_back"), F.lit(0)).alias("largest_step_back"))
+    g = ranges.lagged(df, {"_prev": time}, order, key).withColumn("_back", F.col("_prev") - F.col(time)).groupBy(key).agg(F.count("*").alias("rows"), F.count_if(F.col("_back") > 0).alias("out_of_order"), F.greatest(F.max("_back"), F.lit(0)).alias("largest_step_back"))
     return g.withColumn("largest_step_back", F.coalesce("largest_step_back", F.lit(0))).withColumn("is_sorted", F.col("out_of_order") == 0)
 
 
@@ -74,8 +62,8 @@ def across_files(df: DataFrame, file: str, time: str, order: str) -> DataFrame:
 
 def jumps(df: DataFrame, value: str, order: str, key: str) -> DataFrame:
     """Per key: steps over 1 and over 1000 of a value in row order, unsorted."""
-    step = F.col(value) - F.lag(value).over(_per(df, key, order))
-    return df.withColumn("_d", step).groupBy(key).agg(F.count_if(F.col("_d") > 1).alias("over_1"), F.count_if(F.col("_d") > 1000).alias("over_1000"))
+    d = ranges.lagged(df, {"_prev": value}, order, key).withColumn("_d", F.col(value) - F.col("_prev"))
+    return d.groupBy(key).agg(F.count_if(F.col("_d") > 1).alias("over_1"), F.count_if(F.col("_d") > 1000).alias("over_1000"))
 
 
 def sync_points(snapshots: DataFrame, updates: DataFrame, key: str = "symbol") -> DataFrame:
@@ -90,11 +78,17 @@ def sync_points(snapshots: DataFrame, updates: DataFrame, key: str = "symbol") -
     return hit.groupBy(key, "last_id").agg(F.min("first_id").alias("first_update"), F.min_by("final_id", "first_id").alias("final_update"))
 
 
-def as_of(left: DataFrame, right: DataFrame, key: str, time: str, value: str) -> DataFrame:
-    """``left`` with the latest ``value`` of ``right`` at or before its time: one union and one window, no range join."""
+def as_of(left: DataFrame, right: DataFrame, key: str, time: str, value: str, tie: str | None = None, span: int = 3_600_000_000_000) -> DataFrame:
+    """``left`` with the latest ``value`` of ``right`` at or before its time: one union and ranged windows, no range join.
+
+    Of rows of ``right`` with one time the last by ``tie`` counts (by default the largest value).
+    Null values are passed over; a null time comes before all others.
+    """
     names = left.columns
-    both = left.withColumn("_v", F.lit(None).cast(dict(right.dtypes)[value])).withColumn("_side", F.lit(1))
-    add = right.select(F.col(key), F.col(time), F.col(value).alias("_v")).withColumn("_side", F.lit(0))
-    w = Window.partitionBy(key).orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    every = both.unionByName(add, allowMissingColumns=True).withColumn(value, F.last("_v", ignorenulls=True).over(w))
-    return every.filter("_side = 1").select(*names, value)
+    both = left.withColumns({"_v": F.lit(None).cast(dict(right.dtypes)[value]), "_side": F.lit(1), "_tie": F.lit(None).cast("long" if tie is None else dict(right.dtypes)[tie])})
+    last = F.col(tie) if tie else F.col(value)
+    add = right.select(F.col(key), F.col(time), F.col(value).alias("_v"), F.lit(0).alias("_side"), last.alias("_tie"))
+    both = both.withColumn("_tie", F.col("_tie").cast(dict(add.dtypes)["_tie"]))
+    every = both.unionByName(add, allowMissingColumns=True)
+    every = ranges.carried(every, "_v", [F.col(time), F.col("_side"), F.col("_tie")], f"`{time}` div {span}", key)
+    return every.filter("_side = 1").select(*names, F.col("_last").alias(value))

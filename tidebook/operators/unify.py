@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions import scalars as S
+from tidebook.operators import ranges
 
 #: Order of sources whose events fall on one nanosecond.
 RANK = {"TRADE": 0, "BOOK_SNAPSHOT": 1, "BOOK_DELTA": 2}
-FIELDS = ("event_timestamp", "event_type", "update_id", "trade_id", "trade_price", "trade_quantity", "trade_side", "bids", "asks", "is_snapshot", "delta_side", "delta_price", "delta_quantity")
 
 
 def unioned(*parts: DataFrame) -> DataFrame:
@@ -25,6 +25,21 @@ def order_key(time: str = "origin_time") -> list[Column]:
     return [F.col(time).asc_nulls_first(), F.col("update_id").asc_nulls_first(), rank.asc(), F.col("event_id").asc()]
 
 
+def placed(events: DataFrame, key: str | None = None, time: str = "origin_time", width: int = 3_600_000_000_000) -> DataFrame:
+    """Events with their ``place`` (from 1) in the total order, of each ``key`` or of all events.
+
+    Each stretch of ``width`` nanoseconds is numbered on its own and continues from the
+    count of those before, so neither a busy symbol nor the global order binds one task.
+    """
+    return ranges.placed(events, order_key(time), f"`{time}` div {width}", key)
+
+
+def merged(parts: list[DataFrame], time: str = "origin_time", files: int = 64) -> DataFrame:
+    """Sorted parts as one globally sorted table: ranges of time, each sorted, in the order of the output's partitions."""
+    every = unioned(*parts)
+    return every.repartitionByRange(files, *order_key(time)).sortWithinPartitions(*order_key(time))
+
+
 def normalised(events: DataFrame) -> DataFrame:
     """The unified fields of mixed events, each only for its own type; unknown types keep the core fields."""
     c = events.columns

@@ -48,9 +48,7 @@ def unify_span(t):
 
 @query("select symbol, event_id, event_type, row_number() over (partition by symbol order by origin_time, update_id nulls first, case event_type when 'TRADE' then 0 when 'BOOK_SNAPSHOT' then 1 else 2 end, event_id) as place from unified")
 def unify_ordered(t):
-    from pyspark.sql import Window
-
-    return _unified(t).select("symbol", "event_id", "event_type", F.row_number().over(Window.partitionBy("symbol").orderBy(*unify.order_key())).alias("place"))
+    return unify.placed(_unified(t), "symbol").select("symbol", "event_id", "event_type", "place")
 
 
 @query("select event_id, case when event_type = 'BOOK_SNAPSHOT' then 'BOOK_SNAPSHOT' when trade_id is not null then 'TRADE' else 'BOOK_DELTA' end as label from unified")
@@ -257,7 +255,7 @@ def snapshot_drift(t):
     return _drift(t).select("symbol", "snap_id", r("bid_rms"), r("ask_rms"), r("rms"), r("max_deviation"), "bid_level_diff", "ask_level_diff")
 
 
-@query(f"""select count(*) as snapshots, round(avg(v), 6) as mean, round(max(v), 9) as max, round(min(v), 9) as min, list_sort(list(round(v, 9)))[(0.95 * (count(*) - 1))::decimal(18,4)::double::int64 + 1 - case when (0.95 * (count(*) - 1)) < ((0.95 * (count(*) - 1))::decimal(18,4)::double::int64) then 1 else 0 end] as p95,
+@query(f"""select count(*) as snapshots, round(avg(v), 6) as mean, round(max(v), 9) as max, round(min(v), 9) as min, list_sort(list(round(v, 9)))[(0.95 * (count(*) - 1))::decimal(18,4)::double::int64 + 1 - case when (0.95 * (count(*) - 1)) < ((0.95 * (count(*) - 1))::decimal(18,4)::double::int64) then 1 else 0 end] as p95, round(avg((v > 0.05)::int), 9) as resync_rate,
   list_sort(list(round(v, 9)))[floor(0.99 * (count(*) - 1))::int64 + 1] as p99 from (select sqrt((bid_rms ** 2 + ask_rms ** 2) / 2) as v from {_DRIFT})""")
 def drift_summary(t):
     return stats.drift_summary(_drift(t).withColumn("rms", F.round("rms", 12))).withColumn("mean", F.round("mean", 6))
@@ -273,8 +271,8 @@ def rank_drift(t):
 
 @query("select t.symbol, t.event_id, t.price, (select arg_max(d.price, d.update_id) from deltas d where d.symbol = t.symbol and d.origin_time <= t.origin_time) as last_level from trades t")
 def as_of_level(t):
-    right = M.deltas(t).select("symbol", "origin_time", F.col("price").alias("last_level"))
-    return sequence.as_of(M.trades(t).select("symbol", "event_id", "price", "origin_time"), right, "symbol", "origin_time", "last_level").drop("origin_time")
+    right = M.deltas(t).select("symbol", "origin_time", F.col("price").alias("last_level"), "update_id")
+    return sequence.as_of(M.trades(t).select("symbol", "event_id", "price", "origin_time"), right, "symbol", "origin_time", "last_level", tie="update_id").drop("origin_time")
 
 
 # ------------------------------------------------------------------- statistics
