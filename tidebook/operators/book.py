@@ -175,6 +175,9 @@ class Book:
     lossy: bool = False
     threshold: float = 0.05
     resync: bool = True
+    #: Deltas before the first snapshot wait for it and are applied with it, if they are newer.
+    queue: bool = False
+    waiting: list[tuple] = field(default_factory=list)
     started: bool = False
     bids: Side = None
     asks: Side = None
@@ -182,12 +185,16 @@ class Book:
     def __post_init__(self) -> None:
         self.bids, self.asks = Side(True, self.depth, self.lossy), Side(False, self.depth, self.lossy)
 
-    def snapshot(self, bids: list[tuple[int, int]], asks: list[tuple[int, int]]) -> tuple[float, float, bool] | None:
+    def snapshot(self, bids: list[tuple[int, int]], asks: list[tuple[int, int]], update_id: int | None = None) -> tuple[float, float, bool] | None:
         """Load the first snapshot; later ones give (drift, largest deviation, whether the book was reloaded)."""
         if not self.started:
             self.started = True
             self.bids.load(bids)
             self.asks.load(asks)
+            for n, *d in self.waiting:
+                if update_id is None or n is None or n > update_id:
+                    self.delta(*d)
+            self.waiting = []
             return None
         both = [side_drift(s.top(), {p: q for p, q in lv if q > 0}) for s, lv in ((self.bids, bids), (self.asks, asks))]
         rms, most = ((both[0][0] ** 2 + both[1][0] ** 2) / 2) ** 0.5, max(both[0][1], both[1][1])
@@ -206,7 +213,9 @@ class Book:
         if best is not None and (best <= price if side == "BUY" else best >= price):
             other.set(best, other.quantity[best] - quantity)
 
-    def delta(self, side: str | None, price: int | None, quantity: int | None) -> None:
+    def delta(self, side: str | None, price: int | None, quantity: int | None, update_id: int | None = None) -> None:
+        if not self.started and self.queue:
+            self.waiting.append((update_id, side, price, quantity))
         if self.started and price is not None and quantity is not None:
             if side == "BID":
                 self.bids.set(price, quantity)

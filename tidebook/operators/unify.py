@@ -79,3 +79,10 @@ def span(events: DataFrame, time: str = "origin_time") -> DataFrame:
     g = events.agg(F.count("*").alias("events"), F.min(time).alias("first"), F.max(time).alias("last"))
     sec = (F.col("last") - F.col("first")) / F.lit(1e9)
     return g.withColumn("seconds", F.round(sec, 6)).withColumn("events_per_second", F.round(F.when(sec > 0, F.col("events") / sec), 9))
+
+
+def routed(events: DataFrame, config: DataFrame) -> DataFrame:
+    """Per symbol: its worker by ``config`` (symbol, worker), events routed to it, and events dropped because no worker takes the symbol."""
+    g = events.groupBy("symbol").agg(F.count("*").alias("n"))
+    j = g.join(F.broadcast(config), "symbol", "left")
+    return j.select("symbol", "worker", F.when(F.col("worker").isNotNull(), F.col("n")).otherwise(0).alias("routed"), F.when(F.col("worker").isNull(), F.col("n")).otherwise(0).alias("dropped"))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.operators import sequence, stats
+from tidebook.operators import ranges, sequence, stats
 
 RESULT = "validator string, passed boolean, metrics string, error string"
 
@@ -103,14 +103,15 @@ def run(spark: SparkSession, validators: list[Validator], golden: DataFrame, oth
     """Results of all validators, in their order; those in ``done`` are not run again, a failing one gives its error."""
     have = {r["validator"] for r in done.select("validator").collect()} if done is not None else set()
     parts = [done.select(*[c.split()[0] for c in RESULT.split(", ")])] if done is not None else []
+    rows = []
     for v in validators:
         if v.name in have:
             continue
         try:
-            parts.append(v.result(golden, other))
-        except Exception as e:  # noqa: BLE001  a validator's failure is its result
-            parts.append(spark.createDataFrame([(v.name, False, None, f"{type(e).__name__}: {e}"[:500])], RESULT))
-    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RESULT)
+            rows += [tuple(r) for r in v.result(golden, other).collect()]  # one row
+        except Exception as e:  # noqa: BLE001  a validator's failure is its result, at run time too
+            rows.append((v.name, False, None, f"{type(e).__name__}: {e}"[:500]))
+    return reduce(DataFrame.unionByName, [*parts, spark.createDataFrame(rows, RESULT)])
 
 
 def regimes(updates: DataFrame, regime: str, most: float = 0.001, **columns: str) -> DataFrame:
@@ -133,14 +134,34 @@ def spreads(levels: DataFrame, depths: list[int]) -> DataFrame:
 
 def impact(trades: DataFrame, bucket_ns: int) -> DataFrame:
     """Kyle's lambda and Amihud's ratio of each symbol, from price changes and signed volume in time buckets."""
-    from pyspark.sql import Window
-
     signed = F.when(F.col("side") == "BUY", F.col("quantity")).otherwise(-F.col("quantity"))
     b = trades.groupBy("symbol", F.expr(f"origin_time div {bucket_ns}").alias("b")).agg(F.sum(signed).alias("flow"), F.sum("quantity").alias("volume"), F.max_by("price", "event_id").alias("close"))
-    b = b.withColumn("change", F.col("close") - F.lag("close").over(Window.partitionBy("symbol").orderBy("b"))).filter("change is not null")
+    b = ranges.lagged(b, {"_prev": "close"}, "b", "symbol").withColumn("change", F.col("close") - F.col("_prev")).filter("change is not null")
     return b.groupBy("symbol").agg(F.round(F.regr_slope("change", "flow"), 9).alias("kyle_lambda"), F.round(F.avg(F.abs("change") / F.col("volume")), 9).alias("amihud"), F.count("*").alias("buckets"))
 
 
+def crossed(top: DataFrame) -> DataFrame:
+    """Per symbol: states of a book, those crossed (bid at or above ask) and one-sided, and the crossed share."""
+    cross = F.coalesce(F.col("best_bid") >= F.col("best_ask"), F.lit(False))
+    g = top.groupBy("symbol").agg(F.count("*").alias("states"), F.count_if(cross).alias("crossed"), F.count_if(F.col("best_bid").isNull() | F.col("best_ask").isNull()).alias("one_sided"))
+    return g.withColumn("crossed_rate", F.round(F.col("crossed") / F.col("states"), 9))
+
+
+def bursts(events: DataFrame, bucket_ns: int, time: str = "origin_time") -> DataFrame:
+    """Fano factor of each symbol: variance over mean of the number of events in its time buckets that have any."""
+    b = events.groupBy("symbol", F.expr(f"`{time}` div {bucket_ns}").alias("b")).agg(F.count("*").alias("n"))
+    return b.groupBy("symbol").agg(F.count("*").alias("buckets"), F.round(F.var_pop("n") / F.avg("n"), 9).alias("fano"))
+
+
+def price_jumps(trades: DataFrame, bucket_ns: int, sigmas: float = 3.0) -> DataFrame:
+    """Per symbol: changes of the closing price between time buckets, and those beyond so many deviations from their mean."""
+    c = trades.groupBy("symbol", F.expr(f"origin_time div {bucket_ns}").alias("b")).agg(F.max_by("price", "event_id").alias("close"))
+    c = ranges.lagged(c, {"_prev": "close"}, "b", "symbol").withColumn("d", F.col("close") - F.col("_prev")).filter("d is not null")
+    of = c.groupBy("symbol").agg(F.avg("d").alias("m"), F.stddev_pop("d").alias("s"), F.count("*").alias("changes"))
+    far = F.abs(F.col("d") - F.col("m")) > sigmas * F.col("s")
+    return c.join(F.broadcast(of), "symbol").groupBy("symbol").agg(F.first("changes").alias("changes"), F.count_if(far).alias("jumps"), F.max(F.abs("d")).alias("largest"))
+
+
 def storage(volumes: DataFrame, months: int, read_factor: float, write_factor: float) -> DataFrame:
     """Gigabytes read and written over some months, by symbol (symbol, gb_per_month)."""
     g = F.col("gb_per_month") * months

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.functions import scalars as S
-from tidebook.operators import book, quality, sequence, stats, unify, validators
+from tidebook.operators import book, jobs, quality, recovery, sequence, stats, unify, validators
 from tidebook.plans import market as M
 from tidebook.sources import readers, sinks
 
@@ -85,11 +86,11 @@ def normalize_levels(t):
     return M.levels(s).select("snap_id", "side", "price", "quantity")
 
 
-@query("""select snap_id, price, quantity from (select snap_id, price, case when price = 9999 then null when price = 9995 then 7 else quantity end as quantity from levels where side = 'BID' union all select distinct snap_id, 9000, 5 from levels) where quantity is not null""")
+@query("""select snap_id, side, price, quantity from (select snap_id, side, price, case when price = 9999 then null when price = 9995 then 7 else quantity end as quantity from levels union all select distinct snap_id, side, 9000, 5 from levels union all select distinct snap_id, 'ASK', 9995, 7 from levels) where quantity is not null""")
 def apply_level_updates(t):
     up = F.expr("array(named_struct('price', 9999L, 'quantity', 0L), named_struct('price', 9995L, 'quantity', 3L), named_struct('price', 9000L, 'quantity', 5L), named_struct('price', 9995L, 'quantity', 7L))")
-    s = M.snapshots(t).select(F.col("update_id").alias("snap_id"), "bids", up.alias("up"))
-    return s.select("snap_id", F.inline(S.updated_levels(F.col("bids"), F.col("up"))))
+    s = M.snapshots(t).select("symbol", "update_id", *[S.updated_levels(F.col(c), up).alias(c) for c in ("bids", "asks")])
+    return M.levels(s).select("snap_id", "side", "price", "quantity")
 
 
 @query("select coalesce(reason, 'valid') as reason, count(*) as n from (select case when event_type = 'TRADE' and not quantity > 0 then 'trade_quantity' when event_type = 'BOOK_DELTA' and new_quantity < 0 then 'delta_quantity' when event_type = 'TRADE' and event_id % 7 = 0 then 'trade_side' end as reason from unified) group by 1")
@@ -362,7 +363,7 @@ def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FILES = "--plain\nwith files as (select o_orderkey as key, case o_orderstatus when 'F' then 'READY' when 'O' then 'RAW' else 'QUARANTINED' end as status, (['trades', 'book', 'book_delta_v2'])[1 + (o_orderkey % 3)::int] as data_type, o_custkey as size, o_orderdate::date as date from orders) "
 
 
-@query(_FILES + "select r.data_type, coalesce(count(f.key), 0) as files, coalesce(sum(f.size), 0)::bigint as bytes, min(f.date) as first_date, max(f.date) as last_date, count(f.key) > 0 as ready from (values ('trades'), ('book'), ('book_delta_v2'), ('funding')) r(data_type) left join files f on f.data_type = r.data_type and f.status = 'READY' group by 1")
+@query(_FILES + "select r.data_type, coalesce(count(f.key), 0) as files, coalesce(sum(f.size), 0)::bigint as bytes, min(f.date) as first_date, max(f.date) as last_date, count(f.key) > 0 as ready, case when count(f.key) = 0 then 'no ready files' when count(distinct f.date) < 0.95 * (max(f.date) - min(f.date) + 1) then 'days missing' end as issue from (values ('trades'), ('book'), ('book_delta_v2'), ('funding')) r(data_type) left join files f on f.data_type = r.data_type and f.status = 'READY' group by 1")
 def ready_certificate(spark, sf_dir):
     return quality.certificate(_files(spark, sf_dir), ["trades", "book", "book_delta_v2", "funding"])
 
@@ -443,13 +444,19 @@ def golden_regimes(t):
     return validators.regimes(r, "regime", last="u_last", first="U")
 
 
-@query("""select 'basic_statistics' as validator, (select round(abs(a.m - b.m) / greatest(abs(a.m), 1e-10), 6) <= 0.01 and round(abs(a.s - b.s) / greatest(abs(a.s), 1e-10), 6) <= 0.05 and round(abs(a.d - b.d) / greatest(abs(a.d), 1e-10), 6) <= 0.01
-  from (select round(avg(qty), 6) as m, round(stddev_pop(qty), 6) as s, quantile_cont(qty, 0.5) as d from t where event_id % 2 = 0) a, (select round(avg(qty), 6) as m, round(stddev_pop(qty), 6) as s, quantile_cont(qty, 0.5) as d from t where event_id % 2 = 1) b) as passed
-  union all select 'chronology', true union all select 'sequence_gaps', false""")
+_HALF = "(select r.*, t.origin_time, r.seq % 2 as h, lag(t.origin_time) over w as last_time, lag(r.u1) over w + 1 as expected from ranges r join t on t.event_id = r.seq window w as (partition by r.symbol, r.seq % 2 order by r.seq))"
+
+
+@query(f"""select 'basic_statistics' as validator, dm <= 0.01 and ds <= 0.05 and dd <= 0.01 as passed, dm::double as first_metric from (select {_rel('a.m', 'b.m')} as dm, {_rel('a.s', 'b.s')} as ds, {_rel('a.d', 'b.d')} as dd
+  from (select round(avg(qty), 6) as m, round(stddev_pop(qty), 6) as s, quantile_cont(qty, 0.5) as d from t where event_id % 2 = 0) a, (select round(avg(qty), 6) as m, round(stddev_pop(qty), 6) as s, quantile_cont(qty, 0.5) as d from t where event_id % 2 = 1) b)
+  union all select 'chronology', count(*) filter (origin_time < last_time) = 0, (count(*) filter (h = 0 and origin_time < last_time))::double from {_HALF}
+  union all select 'sequence_gaps', a <= 1e-4 and b <= 1e-4, a from (select round(count(*) filter (h = 0 and u0 <> expected) / count(*) filter (h = 0), 9) as a, round(count(*) filter (h = 1 and u0 <> expected) / count(*) filter (h = 1), 9) as b from {_HALF})""")
 def validation_report(t):
     x = M.ranges(t).join(t.select("event_id", "qty", "origin_time"), "event_id")
     v = [validators.BasicStatistics("qty"), validators.Chronology("origin_time"), validators.SequenceGaps(last="u_last", first="U")]
-    return validators.run(t.sparkSession, v, x.filter("event_id % 2 = 0"), x.filter("event_id % 2 = 1")).select("validator", "passed")
+    out = validators.run(t.sparkSession, v, x.filter("event_id % 2 = 0"), x.filter("event_id % 2 = 1"))
+    first = F.coalesce(*[F.get_json_object("metrics", f"$.{k}").cast("double") for k in ("mean_diff", "golden_out_of_order", "golden_ratio")])
+    return out.select("validator", "passed", first.alias("first_metric"))
 
 
 @query("select symbol, snap_id, k, max(price) filter (side = 'ASK') - max(price) filter (side = 'BID') as spread from (select *, row_number() over (partition by symbol, snap_id, side order by case side when 'BID' then -price else price end) as k from levels) where k in (1, 3, 5) group by 1, 2, 3")
@@ -492,6 +499,281 @@ def selected_trades(t):
     return readers.selected(M.trades(t), "S1", (1_704_200_000_000_000_000, 1_704_900_000_000_000_000)).select("event_id", "symbol", "price", "quantity", "side")
 
 
+# ------------------------------------------------- global order, stored tables
+
+
+_ORDER = "order by origin_time, update_id nulls first, case event_type when 'TRADE' then 0 when 'BOOK_SNAPSHOT' then 1 else 2 end, event_id"
+
+
+@query(f"select event_id, row_number() over ({_ORDER}) as place from unified")
+def unify_global_order(t):
+    return unify.placed(_unified(t)).select("event_id", "place")
+
+
+@query(f"select event_id, row_number() over ({_ORDER}) as place from unified where event_type <> 'BOOK_SNAPSHOT'")
+def merged_files(t):
+    parts = [M.trades(t).filter("event_id % 2 = 0"), M.trades(t).filter("event_id % 2 = 1"), M.deltas(t)]
+    return unify.placed(unify.merged(parts)).select("event_id", "place")
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the warehouse, which the whole cluster sees."""
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tidebook-{uuid.uuid4().hex}"
+
+
+@query("select event_type, count(*) as n, sum(price)::bigint as price, sum(quantity)::bigint as quantity, min(origin_time) as first, max(update_id) as last_id from (select event_type, price, coalesce(quantity, new_quantity) as quantity, origin_time, update_id from unified where event_type <> 'BOOK_SNAPSHOT') group by 1")
+def read_events(t):
+    """Trades and deltas through the scans of files, with their required columns."""
+    at, parts = _folder(t.sparkSession), []
+    for kind, rows, quantity in (("TRADE", M.trades(t), "quantity"), ("BOOK_DELTA", M.deltas(t), "new_quantity")):
+        rows.drop("event_type").write.parquet(f"{at}/{kind}/day=1")
+        parts.append(readers.events(t.sparkSession, f"{at}/{kind}", kind).withColumnRenamed(quantity, "amount"))
+    g = unify.unioned(*parts).groupBy("event_type")
+    return g.agg(F.count("*").alias("n"), F.sum("price").cast("long").alias("price"), F.sum("amount").cast("long").alias("quantity"), F.min("origin_time").alias("first"), F.max("update_id").alias("last_id"))
+
+
+@query("select snap_id, side, price, quantity from levels")
+def read_snapshots(t):
+    """Snapshots through the scan of files, from wide columns of levels."""
+    at, lv = _folder(t.sparkSession), lambda c, s, k: F.col(c)[k][s]
+    wide = [lv(f"{side}s", "price" if n == "price" else "quantity", k).alias(f"{side}_{k}_{n}") for side in ("bid", "ask") for k in range(5) for n in ("price", "size")]
+    M.snapshots(t).select("symbol", "origin_time", F.col("update_id").alias("sequence_number"), *wide).write.parquet(at)
+    long = lambda c: F.transform(c, lambda x: F.struct(x["price"].cast("long").alias("price"), x["quantity"].cast("long").alias("quantity"))).alias(c)
+    s = readers.events(t.sparkSession, at, "BOOK_SNAPSHOT").select("symbol", "update_id", long("bids"), long("asks"))
+    return M.levels(s).select("snap_id", "side", "price", "quantity")
+
+
+@query("select event_type, strftime(make_timestamp(origin_time // 1000), '%Y/%m/%d/%H') as hour, count(*) as n, sum(price)::bigint as price, sum(levels)::bigint as levels from (select event_type, origin_time, case when event_type = 'TRADE' and not quantity > 0 then null else price end as price, case when event_type = 'BOOK_SNAPSHOT' then 10 else 0 end as levels from unified where not (event_type = 'TRADE' and not quantity > 0)) group by 1, 2")
+def stored_events(t):
+    """Valid events through the hourly sink and back: decimals, levels as JSON, folders by hour."""
+    at = _folder(t.sparkSession)
+    sinks.write_events(unify.normalised(_unified(t)), at)
+    e = sinks.from_file(t.sparkSession.read.parquet(at))
+    hour = F.concat_ws("/", *[F.lpad(F.col(c).cast("string"), n, "0") for c, n in (("year", 4), ("month", 2), ("day", 2), ("hour", 2))])
+    price = F.coalesce("trade_price", "delta_price")
+    return e.groupBy("event_type", hour.alias("hour")).agg(F.count("*").alias("n"), F.sum(price).cast("long").alias("price"), F.sum(F.coalesce(F.size("bids") + F.size("asks"), F.lit(0))).alias("levels"))
+
+
+@query("select upper(split_part(stream, '@', 1)) as symbol, count(*) as n, min(capture_ns) as first from captured where contains(stream, '@trade') group by 1")
+def stored_messages(t):
+    """Captured messages through the hourly gzip sink and the filtered scan."""
+    at = _folder(t.sparkSession)
+    sinks.write_messages(M.messages(t).select("capture_ns", "stream", "data"), at, hourly=True)
+    m = readers.messages(t.sparkSession, at, F.col("stream").contains("@trade"))
+    return m.groupBy(S.stream_symbol(F.col("stream")).alias("symbol")).agg(F.count("*").alias("n"), F.min("capture_ns").alias("first"))
+
+
+@query(f"select symbol, partition_path, row_count, timestamp_min, timestamp_max, event_types from {_HOURS}")
+def manifest_compacted(t):
+    """Manifest rows added in three batches, one of them twice, and compacted."""
+    at, u = _folder(t.sparkSession), _unified(t)
+    for batch in (0, 1, 1, 2):
+        sinks.append_manifest(u.filter(F.col("event_id") % 3 == batch), at, batch, "origin_time")
+    return sinks.compact_manifest(t.sparkSession, at, f"{at}-compacted")
+
+
+@query("select substr(stream, strpos(stream, '@') + 1) as stream_type, count(*) as messages, count(*) filter (event_id % 19 = 0) as errors, false as is_total from captured group by 1 union all select null, count(*), count(*) filter (event_id % 19 = 0), true from captured")
+def message_statistics(t):
+    broken = M.messages(t).withColumn("data", F.when(F.col("event_id") % 19 == 0, "{broken").otherwise(F.col("data")))
+    return readers.message_statistics(broken)
+
+
+# --------------------------------------------------------- recovery and routing
+
+
+@query("select t.symbol, t.event_id, (select max(s.update_id) from snaps s where s.symbol = t.symbol and s.update_id <= t.update_id) as checkpoint from trades t")
+def checkpoint_lookup(t):
+    s = M.snapshots(t).select("symbol", "update_id", F.col("update_id").alias("checkpoint"))
+    return sequence.as_of(M.trades(t).select("symbol", "event_id", "update_id"), s, "symbol", "update_id", "checkpoint", span=65_536).drop("update_id")
+
+
+_CONT = "(select c.symbol, c.checkpoint, min(d.update_id) filter (d.update_id > c.checkpoint) as first_id, count(d.update_id) filter (d.update_id <= c.checkpoint) as duplicates from (select symbol, min(update_id) + 3 as checkpoint from snaps group by 1) c left join deltas d on d.symbol = c.symbol and d.update_id % 2 = 0 group by 1, 2)"
+
+
+@query(f"select symbol, checkpoint, first_id, first_id - checkpoint - 1 as gap, duplicates, case when first_id is null then 'no_updates' when first_id - checkpoint - 1 > 1000 then 'failed' when duplicates > 0 then 'duplicates' else 'ok' end as status from {_CONT}")
+def recovery_continuity(t):
+    c = M.snapshots(t).groupBy("symbol").agg((F.min("update_id") + 3).alias("checkpoint"))
+    return recovery.continuity(c, M.deltas(t).filter("update_id % 2 = 0"))
+
+
+_SYNC = """(select symbol, event_id * 3 as u0, event_id * 3 + 2 as u1 from t where event_id % 5 <> 0)"""
+
+
+@query(f"""select b.symbol, b.attempts, b.synced, b.last_id, b.first_update, count(*) filter (u.u1 <= b.last_id) as stale, min(u.u0) filter (u.u0 > b.first_update and u.u0 <> u.prev + 1) as resync_at from
+  (select symbol, coalesce(min(k) filter (first_update is not null), max(k)) as attempts, count(first_update) > 0 as synced, arg_min(last_id, k) filter (first_update is not null) as last_id, arg_min(first_update, k) filter (first_update is not null) as first_update from
+    (select s.symbol, s.k, s.last_id, min(u.u0) as first_update from (select symbol, update_id * 3 as last_id, row_number() over (partition by symbol order by update_id) as k from snaps) s left join {_SYNC} u on u.symbol = s.symbol and u.u0 <= s.last_id + 1 and s.last_id + 1 <= u.u1 where s.k <= 5 group by 1, 2, 3) group by 1) b
+  join (select *, lag(u1) over (partition by symbol order by u0) as prev from {_SYNC}) u on u.symbol = b.symbol group by all""")
+def synchroniser(t):
+    s = M.snapshots(t).select("symbol", (F.col("update_id") * 3).alias("update_id"))
+    u = t.filter("event_id % 5 <> 0").select("symbol", (F.col("event_id") * 3).alias("first_id"), (F.col("event_id") * 3 + 2).alias("final_id"))
+    return recovery.synchronised(s, u, sequence.sync_points(s, u))
+
+
+@query("select symbol, count(*) as checkpoints, round(avg(d), 3) as mean_interval, min(d) as least_interval, max(d) as largest_interval from (select symbol, origin_time - lag(origin_time) over (partition by symbol order by update_id) as d from snaps) group by 1")
+def checkpoint_intervals(t):
+    return recovery.intervals(M.snapshots(t), "origin_time", "update_id")
+
+
+@query("select symbol, case symbol when 'S0' then 0 when 'S1' then 1 when 'S2' then 0 end as worker, count(*) filter (symbol <> 'S3') as routed, count(*) filter (symbol = 'S3') as dropped from unified group by 1, 2")
+def routed_and_dropped(t):
+    config = t.sparkSession.createDataFrame([("S0", 0), ("S1", 1), ("S2", 0)], "symbol string, worker int")
+    return unify.routed(_unified(t), config)
+
+
+@query("select symbol, update_id, rank from (select symbol, update_id, row_number() over (partition by symbol order by update_id desc) as rank from snaps) where rank <= 3")
+def retention_latest(t):
+    return sinks.kept_latest(M.snapshots(t).select("symbol", "update_id"), "symbol", "update_id", 3)
+
+
+@query("select symbol, count(*) filter (gap > 0) as gaps, coalesce(max(gap) filter (gap > 0), 0) as largest, min(expected_id) filter (gap > 0) as first_gap from gapped group by 1")
+def first_gap(t):
+    pos = F.when(F.col("gap") > 0, F.col("gap"))
+    return sequence.with_gaps(M.deltas(t)).groupBy("symbol").agg(F.count(pos).alias("gaps"), F.coalesce(F.max(pos), F.lit(0)).alias("largest"), F.min(F.when(F.col("gap") > 0, F.col("expected_id"))).alias("first_gap"))
+
+
+# ----------------------------------------------------------- values and formats
+
+
+@query("select snap_id, side, price, quantity from levels")
+def normalize_level_maps(t):
+    """Levels as maps in three spellings."""
+    names = F.when(F.col("update_id") % 3 == 0, F.array(F.lit("price"), F.lit("quantity"))).when(F.col("update_id") % 3 == 1, F.array(F.lit("p"), F.lit("q"))).otherwise(F.array(F.lit("price"), F.lit("size")))
+    raw = M.snapshots(t).withColumn("k", names)
+    raw = raw.select("update_id", "symbol", *[F.transform(c, lambda x: F.map_from_arrays(F.col("k"), F.array(x["price"], x["quantity"]))).alias(c) for c in ("bids", "asks")])
+    s = raw.select("symbol", "update_id", S.levels_of_maps(F.col("bids")).alias("bids"), S.levels_of_maps(F.col("asks")).alias("asks"))
+    return M.levels(s).select("snap_id", "side", "price", "quantity")
+
+
+@query("select snap_id, sum(price * quantity)::bigint as weighted, count(*) as levels from levels group by 1")
+def levels_as_json(t):
+    """Levels written as JSON text and read back."""
+    kind = "array<struct<price:bigint,quantity:bigint>>"
+    s = M.snapshots(t).select("symbol", "update_id", *[F.from_json(F.to_json(c), kind).alias(c) for c in ("bids", "asks")])
+    return M.levels(s).groupBy("snap_id").agg(F.sum(F.col("price") * F.col("quantity")).alias("weighted"), F.count("*").alias("levels"))
+
+
+@query("select symbol, min(make_timestamp(origin_time // 1000)) as first_time, max(make_timestamp(origin_time // 1000)) as last_time, round((max(origin_time) - min(origin_time)) / 3.6e12, 6) as hours, year(min(make_timestamp(origin_time // 1000))) >= 2020 and year(max(make_timestamp(origin_time // 1000))) <= 2030 as plausible from unified group by 1")
+def epoch_times(t):
+    return quality.within_years(_unified(t), "origin_time", "symbol")
+
+
+@query("select event_id, cast(round((price + 0.005) * m) as bigint) as price_pips, (quantity * 10)::bigint as quantity_pips, cast(round((price + 0.005) * m) as bigint) / m::double as back from trades join (values ('S0', 100), ('S1', 1000), ('S2', 10), ('S3', 1)) s(sym, m) on sym = symbol")
+def symbol_pips(t):
+    scale = t.sparkSession.createDataFrame([("S0", 100), ("S1", 1000), ("S2", 10), ("S3", 1)], "symbol string, m int")
+    d = M.trades(t).join(F.broadcast(scale), "symbol")
+    pips = S.to_pips(F.col("price").cast("decimal(20,10)") + F.lit("0.005").cast("decimal(10,5)"), F.col("m"))
+    return d.select("event_id", pips.alias("price_pips"), S.to_pips(F.col("quantity").cast("decimal(20,10)"), F.lit(10)).alias("quantity_pips"), (pips / F.col("m").cast("double")).alias("back"))
+
+
+@query("--plain\nselect p as nanos, strftime(make_timestamp(p // 1000), '%Y/%m/%d/%H') as hour, (p + 1) // 2 as mid from (select 1704412799999999990 + r.id - 5 * (r.id % 7) as p from range(20) r(id) union all select 1704412800000000000 + 3600000000000 * r.id - 1 from range(30) r(id))")
+def hour_borders(spark, sf_dir):
+    """Hours of times next to the end of an hour or a day, where doubles would round."""
+    a = spark.range(20).select((F.lit(1_704_412_799_999_999_990) + F.col("id") - 5 * (F.col("id") % 7)).alias("nanos"))
+    b = spark.range(30).select((F.lit(1_704_412_800_000_000_000) + F.lit(3_600_000_000_000) * F.col("id") - 1).alias("nanos"))
+    return a.unionAll(b).select("nanos", S.hour_path(F.col("nanos")).alias("hour"), S.mid_price(F.col("nanos"), F.lit(1)).alias("mid"))
+
+
+# ------------------------------------------------------- acceptance and reports
+
+
+@query("""select file, count(*) as messages, count(*) filter (contains(stream, '@trade')) as trades, round((max(capture_ns) - min(capture_ns)) / 3.6e12, 6) as hours, round(count(*) / ((max(capture_ns) - min(capture_ns)) / 1e9), 6) as per_second, count(*) filter (capture_ns < prev) as out_of_order,
+  count(*) >= 1 and count(*) filter (capture_ns < prev) <= count(*) * 0.1 and count(*) filter (contains(stream, '@trade')) > 0 as accepted from (select *, event_id // 100 as file, lag(capture_ns) over (partition by event_id // 100 order by event_id) as prev from captured) group by 1 having max(capture_ns) > min(capture_ns)""")
+def captured_files(t):
+    m = M.messages(t).withColumn("file", F.expr("event_id div 100"))
+    return quality.captured_files(m, "file", "event_id").filter("per_second is not null")
+
+
+@query("select count(*) as files, sum(n)::bigint as messages, round(avg(n), 6) as mean, max(n) as most from (select event_id // 100 as file, count(*) as n from captured group by 1)")
+def messages_per_file(t):
+    g = M.messages(t).groupBy(F.expr("event_id div 100").alias("file")).agg(F.count("*").alias("n"))
+    return g.agg(F.count("*").alias("files"), F.sum("n").alias("messages"), F.round(F.avg("n"), 6).alias("mean"), F.max("n").alias("most"))
+
+
+@query("select count(*) as checks, sum(r)::bigint as rows, sum(b)::bigint as bad, round((sum(r) - sum(b)) * 100.0 / sum(r), 6)::double as valid_percent from (select kind, count(*) as r, count(*) filter (event_id % 13 = 0) as b from t group by 1)")
+def report_summary(t):
+    return quality.summed(quality.time_tiers(t, "kind", "event_id % 13 = 0"))
+
+
+@query("select kind, count(*) as rows, count(*) filter (event_id % 13 = 0) as bad, round(count(*) filter (event_id % 13 = 0) * 100.0 / count(*), 6)::double as bad_percent, case when round(count(*) filter (event_id % 13 = 0) * 100.0 / count(*), 6) <= 5 then 'reliable' when round(count(*) filter (event_id % 13 = 0) * 100.0 / count(*), 6) <= 10 then 'usable' else 'unreliable' end as tier from t group by 1")
+def origin_time_tiers(t):
+    return quality.time_tiers(t, "kind", "event_id % 13 = 0")
+
+
+@query("""select symbol, gaps, largest, gap_ratio, case (gap_ratio > 0.001)::int + (largest > 1000)::int when 0 then 'GO' when 1 then 'WARN' else 'NO-GO' end as verdict from
+  (select symbol, count(*) filter (gap > 0) as gaps, coalesce(max(gap) filter (gap > 0), 0) as largest, round(count(*) filter (gap > 0) / count(*), 6) as gap_ratio from gapped group by 1)""")
+def delta_spike(t):
+    return quality.spike(sequence.gap_summary(M.deltas(t))).select("symbol", "gaps", "largest", "gap_ratio", "verdict")
+
+
+@query("select count(qty) as n, max(qty) as peak, round(avg(qty), 6) as mean, min(qty) as least, list_sort(list(qty))[least(floor(0.95 * count(qty))::bigint, count(qty) - 1) + 1] as p95 from t")
+def sample_summary(t):
+    return stats.samples(t, "qty")
+
+
+@query(_FILES + "select coalesce(a.key, b.key) as key, case when b.key is null then 'unlisted' when a.key is null then 'missing' when a.d = b.d then 'ok' else 'mismatch' end as status from (select key, key % 97 as d from files where key % 5 <> 0) a full join (select key, case when key % 7 = 0 then -1 else key % 97 end as d from files where key % 3 <> 0) b on a.key = b.key")
+def checksum_lookup(spark, sf_dir):
+    f = _files(spark, sf_dir)
+    found = f.filter("key % 5 <> 0").select("key", (F.col("key") % 97).alias("sha256"))
+    listed = f.filter("key % 3 <> 0").select("key", F.when(F.col("key") % 7 == 0, -1).otherwise(F.col("key") % 97).alias("sha256"))
+    return sinks.verified(found, listed, "key")
+
+
+# ----------------------------------------------------------- more distributions
+
+_TWO = "(select qty as v, count(*) filter (kind = 'view') as a, count(*) filter (kind = 'click') as b, count(*) as h from t where kind in ('view', 'click') group by 1)"
+_ECDF = f"(select v, h, sum(a) over w as fa, sum(b) over w as fb, sum(h) over w as fh, sum(a) over () as n, sum(b) over () as m from {_TWO} window w as (order by v))"
+
+
+@query(f"""select round(d, 9) as statistic, n1, n2, round(case when t < 0.2 then 1.0 else least(1.0, greatest(0.0, 2 * (select sum(power(-1, k - 1) * exp(-2.0 * k * k * t * t)) from range(1, 101) r(k)))) end, 6) as p_value_asymptotic,
+  round(case when t < 0.2 then 1.0 else least(1.0, greatest(0.0, 2 * (select sum(power(-1, k - 1) * exp(-2.0 * k * k * t * t)) from range(1, 101) r(k)))) end, 6) > 0.05 as passed
+  from (select d, n1, n2, d * sqrt(n1 * n2 / (n1 + n2)) as t from (select max(abs(fa / n - fb / m)) as d, max(n)::bigint as n1, max(m)::bigint as n2 from {_ECDF}))""")
+def ks_test(t):
+    return stats.ks_statistic(t.filter("kind in ('view', 'click')"), "qty", "kind = 'view'").withColumn("passed", F.col("p_value_asymptotic") > 0.05)
+
+
+@query(f"select n::bigint as n, m::bigint as m, round(sum(pow(fa / n - fb / m, 2) * h) * n * m / pow(n + m, 2), 6) as cramer_von_mises, round(sum(case when fh < n + m then pow(fa * (n + m) - n * fh, 2) * h / (fh * (n + m - fh)) end) / (n * m), 6) as anderson_darling from (select v, h::double as h, fa::double as fa, fb::double as fb, fh::double as fh, n::double as n, m::double as m from {_ECDF}) group by n, m")
+def sample_distances(t):
+    return stats.distances(t.filter("kind in ('view', 'click')"), "qty", "kind = 'view'")
+
+
+@query("""select xmin, round(1 + n / s, 6) as alpha, n as n_tail, round((select max(abs(e.c / y.n - (1 - pow(e.x / y.xmin, 1 - (1 + y.n / y.s))))) from (select q as x, sum(c) over (order by q) as c from (select qty::double as q, count(*) as c from t where qty >= y.xmin group by 1)) e), 6) as distance
+  from (select xmin, count(*) as n, sum(ln(qty / xmin)) as s from t, (values (500.0::double), (1000.0::double), (2000.0::double)) c(xmin) where qty >= xmin group by 1) y""")
+def power_law_scan(t):
+    return stats.power_law_scan(t, "qty", [500.0, 1000.0, 2000.0]).select("xmin", F.round("alpha", 6).alias("alpha"), "n_tail", F.round("distance", 6).alias("distance"))
+
+
+@query("""select n, round(n * ln(n / s / 1000.0) - (1 + n / s) * s, 3) as power_law, round(n * ln(n / e) - n, 3) as exponential, round(-lx - n / 2 * ln(2 * pi() * v) - n / 2, 3) as lognormal,
+  case when n * ln(n / s / 1000.0) - (1 + n / s) * s >= n * ln(n / e) - n and n * ln(n / s / 1000.0) - (1 + n / s) * s >= -lx - n / 2 * ln(2 * pi() * v) - n / 2 then 'power_law' when n * ln(n / e) - n >= -lx - n / 2 * ln(2 * pi() * v) - n / 2 then 'exponential' else 'lognormal' end as best
+  from (select count(*) as n, sum(ln(qty / 1000.0)) as s, sum(qty - 1000.0)::double as e, var_pop(ln(qty)) as v, sum(ln(qty)) as lx from t where qty >= 1000)""")
+def tail_models(t):
+    r = lambda c: F.round(c, 3).alias(c)
+    return stats.tail_models(t, "qty", 1000.0).select("n", r("power_law"), r("exponential"), r("lognormal"), "best")
+
+
+@query("""select symbol, count(*) as states, count(*) filter (coalesce(bb >= ba, false)) as crossed, count(*) filter (bb is null or ba is null) as one_sided, round(count(*) filter (coalesce(bb >= ba, false)) / count(*), 9) as crossed_rate from (select d.symbol, d.update_id, max(l.price) filter (l.side = 'BID') as bb, min(l.price) filter (l.side = 'ASK') as ba from deltas d
+  left join live l on l.symbol = d.symbol and l.quantity > 0 and l.b <= d.update_id and (l.e is null or d.update_id < l.e) group by 1, 2) group by 1""")
+def crossed_rates(t):
+    return validators.crossed(book.top_of_book(M.deltas(t)))
+
+
+@query("select symbol, count(*) as buckets, round(var_pop(n) / avg(n), 9) as fano from (select symbol, origin_time // 3600000000000 as b, count(*) as n from unified group by 1, 2) group by 1")
+def fano_factors(t):
+    return validators.bursts(_unified(t), 3_600_000_000_000)
+
+
+@query("""select symbol, count(*) as changes, count(*) filter (abs(d - m) > 2 * s) as jumps, max(abs(d)) as largest from (select symbol, d, avg(d) over (partition by symbol) as m, stddev_pop(d) over (partition by symbol) as s from
+  (select symbol, close - lag(close) over (partition by symbol order by b) as d from (select symbol, origin_time // 3600000000000 as b, arg_max(price, event_id) as close from trades group by 1, 2)) where d is not null) group by 1""")
+def price_jumps(t):
+    return validators.price_jumps(M.trades(t), 3_600_000_000_000, 2.0)
+
+
+@query()
+def replay_statistics(t):
+    """The replay job with its written outputs."""
+    d = M.deltas(t).withColumnRenamed("new_quantity", "quantity")
+    return jobs.replay_job(unify.unioned(M.trades(t), M.snapshots(t), d), _folder(t.sparkSession))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

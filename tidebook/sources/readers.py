@@ -89,6 +89,42 @@ def tables(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), good)
 
 
+def stacked(*parts: DataFrame) -> DataFrame:
+    """Rows of tables with the same columns and types, strictly: a ValueError names the first difference."""
+    for p in parts[1:]:
+        if dict(p.dtypes) != dict(parts[0].dtypes):
+            raise ValueError(f"columns differ: {sorted(set(parts[0].dtypes) ^ set(p.dtypes))}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """Data files to read: the lines of a manifest file (.txt), one file, or all Parquet files below a folder, sorted."""
+    if path.endswith(".txt"):
+        return [r[0].strip() for r in spark.read.text(path).collect() if r[0].strip()]  # one line a file
+    if path.endswith(".parquet"):
+        return [path]
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select("path")
+    return sorted(r[0] for r in found.collect())
+
+
+def peek(spark: SparkSession, path: str, n: int = 10) -> tuple[list[tuple[str, str]], list]:
+    """Column types and the first ``n`` rows of a Parquet table."""
+    df = spark.read.parquet(path)
+    return df.dtypes, df.limit(n).collect()
+
+
+def level_count(columns: list[str], side: str) -> int:
+    """How many levels of a side a wide book table has."""
+    return sum(1 for i in range(len(columns)) if any(a in columns and b in columns for a, b in ((f"{side}_{i}_price", f"{side}_{i}_size"), (f"{side}_{i}_price", f"{side}_{i}_amount"), (f"{side}_price_{i}", f"{side}_quantity_{i}"))))
+
+
+def message_statistics(df: DataFrame) -> DataFrame:
+    """One row a stream type with its messages and those whose data are no JSON object; the row without a type is the total."""
+    broken = F.coalesce(F.get_json_object("data", "$").isNull() | ~F.col("data").startswith("{"), F.lit(True))
+    rolled = df.select(S.stream_type(F.col("stream")).alias("stream_type"), broken.alias("broken")).rollup("stream_type")
+    return rolled.agg(F.count("*").alias("messages"), F.count_if("broken").alias("errors"), F.grouping("stream_type").alias("total")).select("stream_type", "messages", "errors", (F.col("total") == 1).alias("is_total"))
+
+
 def messages(spark: SparkSession, path: str, keep: Column | None = None) -> DataFrame:
     """Captured messages (JSON lines, plain or gzip): capture_ns, stream, data as its JSON text; broken lines are left out."""
     schema = "capture_ns long, stream string, data string, _corrupt string"
@@ -146,6 +182,14 @@ def download_tasks(spark: SparkSession, start: str, end: str, days: int, symbols
     return d.join(F.broadcast(s.select(F.col("v").alias("symbol")))).join(F.broadcast(k.select(F.col("v").alias("data_type")))).select("symbol", "data_type", "first_day", "last_day")
 
 
+def synthetic_market(spark: SparkSession, n: int, every: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """Deterministic deltas and snapshots of ten levels a side, one snapshot after ``every`` deltas."""
+    d = synthetic_deltas(spark, n)
+    side = lambda sign: F.transform(F.sequence(F.lit(0), F.lit(9)), lambda k: F.struct((45_000 + sign * (k + 1)).cast("long").alias("price"), ((F.col("update_id") + k) % 1000 + 1).alias("quantity")))
+    s = d.filter(F.col("update_id") % every == 0).select("update_id", "origin_time", side(-1).alias("bids"), side(1).alias("asks"))
+    return d, s
+
+
 def synthetic_deltas(spark: SparkSession, n: int) -> DataFrame:
     """Deterministic deltas: a removal in ten, five gaps of 2 to 20 ids."""
     gap = F.expr(f"cast(id * 6 div {max(n, 1)} as long)")
