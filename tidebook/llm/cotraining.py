@@ -2,23 +2,26 @@
 
 View one is the text's content: byte, word and line statistics of the whole text. View two
 is the page's metadata: language, source and stated length, never the text. Each view has an additive
-logistic model over binned features. In each round, each model labels the unlabelled pool,
-and what it is confident of joins the other view's training set as pseudo-labels. In the
-end both views are calibrated on labelled rows that took no part, and a logistic combination
-of the calibrated views scores all documents.
-
-Only bounded samples reach the driver, as feature rows: ``LABELLED`` labelled and ``POOL``
-unlabelled documents, smallest hashes first. All documents are scored whole on the
-executors. Null and blank texts score as empty texts; null metadata is a value of its own.
-Repeated rows each get a score; an empty table gives an empty result. Without labels of both
-classes every document gets the share of good labels (1 without labels).
+logistic model over binned features. In each round, each model labels all unlabelled documents
+on the executors, and what it is confident of joins the other view's training set as
+pseudo-labels: the executors sum their gradients and curvature bounds, which is all that
+the other view's fit needs of them. In the end both views are calibrated on labelled rows that
+took no part, and a logistic combination of the calibrated views scores all documents.
+
+Of the labelled rows at most ``LABELLED`` (smallest hashes first) reach the driver, as feature
+rows; unlabelled ones are as many as the table has, and reach it as sums of fixed size. All
+documents are scored whole on the executors. Null and blank texts score as empty texts; null
+metadata is a value of its own. Repeated rows each get a score; of contradictory labels of one
+id the good one counts. An empty table gives an empty result. Without labels of both classes
+every document gets the share of good labels (1 without labels). An input column that is named
+like the score is replaced by it.
 """
 
 from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,8 +31,10 @@ from pyspark.sql import functions as F
 
 from tidebook.llm import _shared
 
-#: Sizes of the samples; rounds of exchange; confidence that makes a pseudo-label; its weight.
-LABELLED, POOL, ROUNDS, CONFIDENT, WEIGHT = 6_000, 4_000, 3, 0.98, 0.3
+#: Labelled rows that the models are fitted on; rounds of exchange; confidence that makes a pseudo-label.
+LABELLED, ROUNDS, CONFIDENT = 6_000, 3, 0.98
+#: The weight of all pseudo-labels together, as a share of the labelled rows.
+WEIGHT = 0.3
 #: Bins of a numeric feature; hashed bins of a category.
 BINS, HASHED = 16, 64
 #: Documents below this probability of being good are rejected; low, as losing a good one costs more.
@@ -116,25 +121,36 @@ class View:
     def size(self, features: int) -> int:
         return features * (HASHED if self.edges is None else BINS + 1) + 1
 
-    def fit(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> None:
-        """Weighted logistic regression with a small penalty, by Newton's method on the used weights."""
+    def fit(self, x: np.ndarray, y: np.ndarray, extra: tuple[float, np.ndarray, np.ndarray] | None = None) -> None:
+        """Logistic regression with a small penalty by Newton's method.
+
+        ``extra``: number, gradient and curvature of pseudo-labelled rows at the present weights.
+        They enter as the quadratic that bounds their likelihood from below (a row of k
+        features has a curvature of at most k / 4 on each of them).
+        """
         b = np.hstack([self.bins(x), np.full((len(x), 1), self.size(x.shape[1]) - 1)])
-        used, code = np.unique(b, return_inverse=True)
-        design = np.zeros((len(x), len(used)))
-        design[np.arange(len(x))[:, None], code.reshape(b.shape)] = 1
-        beta = np.zeros(len(used))
+        design = np.zeros((len(x), self.size(x.shape[1])))
+        design[np.arange(len(x))[:, None], b] = 1
+        start = self.weights if len(self.weights) else np.zeros(design.shape[1])
+        pull, bend = np.zeros_like(start), np.zeros_like(start)
+        if extra and extra[0]:
+            share = WEIGHT * len(y) / extra[0]
+            pull, bend = share * extra[1], share * b.shape[1] * extra[2]
+        beta = start
         for _ in range(15):
             p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-            h = (design * (w * p * (1 - p))[:, None]).T @ design + 0.5 * np.eye(len(used))
-            step = np.linalg.solve(h, design.T @ (w * (y - p)) - 0.5 * beta)
+            h = (design * (p * (1 - p))[:, None]).T @ design + np.diag(bend + 0.5)
+            step = np.linalg.solve(h, design.T @ (y - p) + pull - bend * (beta - start) - 0.5 * beta)
             beta = beta + step
             if np.abs(step).max() < 1e-4:
                 break
-        self.weights = np.zeros(self.size(x.shape[1]))
-        self.weights[used] = beta
+        self.weights = beta
 
     def logit(self, x: np.ndarray) -> np.ndarray:
-        return self.weights[self.bins(x)].sum(axis=1) + self.weights[-1]
+        return self.of_bins(self.bins(x))
+
+    def of_bins(self, b: np.ndarray) -> np.ndarray:
+        return self.weights[b].sum(axis=1) + self.weights[-1]
 
     def calibrated(self, x: np.ndarray) -> np.ndarray:
         return np.clip(self.logit(x), -30, 30) * self.calibration[0] + self.calibration[1]
@@ -165,9 +181,32 @@ def _logistic(x: np.ndarray, y: np.ndarray, start: np.ndarray, penalty: float) -
     return beta
 
 
-def cotrained(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_content: np.ndarray, pool_metadata: np.ndarray) -> Model:
-    """Two views trained together; every third labelled row only serves calibration and combination."""
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in np.vstack([content, pool_content]).T] if len(content) else None
+def content_edges(content: np.ndarray) -> list[np.ndarray] | None:
+    """Edges of the bins of each content feature: quantiles of the labelled rows."""
+    return [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in content.T] if len(content) else None
+
+
+def pseudo_sums(one: View, two: View, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """What each view gets of rows that the other is confident of: number, gradient and curvature bound of its weights, in one vector.
+
+    ``first`` and ``second`` are the rows' weight numbers in both views.
+    """
+    p, q = (1 / (1 + np.exp(-np.clip(v.of_bins(b), -30, 30))) for v, b in ((one, first), (two, second)))
+    out = []
+    for to, bins, mine, other in ((one, first, p, q), (two, second, q, p)):
+        sure = np.flatnonzero((other >= CONFIDENT) | (other <= 1 - CONFIDENT))
+        wrong, size = (other[sure] > 0.5) - mine[sure], len(to.weights)
+        b = np.hstack([bins[sure], np.full((len(sure), 1), size - 1)])
+        out += [[len(sure)], np.bincount(b.ravel(), np.repeat(wrong, b.shape[1]), size), np.bincount(b.ravel(), minlength=size) / 4]
+    return np.concatenate(out)
+
+
+def cotrained(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, sums: Callable[[View, View], np.ndarray]) -> Model:
+    """Two views trained together; every third labelled row only serves calibration and combination.
+
+    ``sums`` gives ``pseudo_sums`` of all unlabelled rows for two views.
+    """
+    edges = content_edges(content)
     one, two = View(edges), View(None)
     if not len(y) or y.min() == y.max():
         return Model(one, two, np.zeros(3), float(y.mean()) if len(y) else 1.0)
@@ -175,15 +214,14 @@ def cotrained(content: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_con
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
     learn = ~held
-    given: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view has got from the other
+    one.fit(content[learn], y[learn])
+    two.fit(metadata[learn], y[learn])
     for _ in range(ROUNDS):
-        for view, x, pool, extra in ((one, content, pool_content, given[0]), (two, metadata, pool_metadata, given[1])):
-            k = np.array(list(extra), np.int64)
-            view.fit(np.vstack([x[learn], pool[k]]), np.concatenate([y[learn], [extra[i] for i in k.tolist()]]), np.concatenate([np.ones(learn.sum()), np.full(len(k), WEIGHT)]))
-        for view, pool, other in ((one, pool_content, given[1]), (two, pool_metadata, given[0])):
-            if len(pool):
-                p = 1 / (1 + np.exp(-np.clip(view.logit(pool), -30, 30)))
-                other |= {int(i): float(p[i] > 0.5) for i in np.flatnonzero((p >= CONFIDENT) | (p <= 1 - CONFIDENT)) if int(i) not in other}
+        given = sums(one, two)
+        for view, x in ((one, content), (two, metadata)):
+            size = len(view.weights)
+            view.fit(x[learn], y[learn], (given[0], given[1 : 1 + size], given[1 + size : 1 + 2 * size]))
+            given = given[1 + 2 * size :]
     check = held if held.any() else learn
     for view, x in ((one, content), (two, metadata)):
         a, b = _logistic(np.stack([np.clip(view.logit(x[check]), -30, 30), np.ones(check.sum())], axis=1), y[check], np.array([1.0, 0.0]), 1.0)
@@ -206,18 +244,56 @@ def _views(docs: DataFrame, text_col: str, extra: list[str]) -> DataFrame:
     return plain.mapInArrow(work, "content binary, " + ", ".join(f"{n} {kinds[n]}" for n in names))
 
 
+def _binned(docs: DataFrame, text_col: str, view: View) -> DataFrame:
+    """_id and the bins of both views (bytes) of each row."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        offsets = np.arange(len(CONTENT)) * (BINS + 1)
+        for batch in itertools.chain.from_iterable(_shared.text_slices(b, "text") for b in batches):
+            first = (view.bins(content_features(batch.column(1))) - offsets).astype(np.uint8)
+            second = metadata_features(*(batch.column(k).to_pylist() for k in (2, 3, 4))).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r.tobytes() for r in x], pa.binary()) for x in (first, second)]], names=["_id", "first", "second"])
+
+    return docs.select("_id", F.col(text_col).alias("text"), "lang", "source", "n_chars").mapInArrow(work, "_id long, first binary, second binary")
+
+
+def _summed(rows: DataFrame, one: View, two: View) -> np.ndarray:
+    """``pseudo_sums`` of all rows: each task adds up its own, the tasks' vectors are added by place."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                first, second = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(batch.num_rows, -1).astype(np.int64) for k in (0, 1))
+                part = pseudo_sums(one, two, first + np.arange(first.shape[1]) * (BINS + 1), second + np.arange(second.shape[1]) * HASHED)
+                total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "value"])
+
+    out = np.zeros(2 + 2 * len(one.weights) + 2 * len(two.weights))
+    for r in rows.select("first", "second").mapInArrow(work, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect():  # a number for each weight
+        out[r["place"]] = r["value"]
+    return out
+
+
 def model_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
-    """A model from bounded samples of labelled and unlabelled documents."""
+    """A model from a bounded sample of the labelled and from all unlabelled documents."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("double").alias("y"))
     picked = known.orderBy(F.xxhash64("_id"), "_id").limit(LABELLED)
     plain = docs.select(F.col(id_col).cast("long").alias("_id"), text_col, *_metadata(docs))
-    rows = _views(plain.join(F.broadcast(picked), "_id").orderBy(F.xxhash64("_id"), text_col).limit(LABELLED), text_col, ["y"]).collect()  # LABELLED rows at most
-    # the pool: unlabelled ids of smallest hashes; ids are enough to pick them
-    free = plain.select("_id").distinct().join(known.select("_id"), "_id", "left_anti").orderBy(F.xxhash64("_id"), "_id").limit(POOL)
-    pool = _views(plain.join(F.broadcast(free), "_id").orderBy(F.xxhash64("_id"), text_col).limit(POOL), text_col, []).collect()  # POOL rows at most
-    content = lambda rs: np.array([np.frombuffer(r["content"], float) for r in rs]).reshape(-1, len(CONTENT))
-    meta = lambda rs: metadata_features([r["lang"] for r in rs], [r["source"] for r in rs], [r["n_chars"] for r in rs])
-    return cotrained(content(rows), meta(rows), np.array([r["y"] for r in rows], float), content(pool), meta(pool))
+    # features leave the executors, not texts
+    rows = _views(plain.join(F.broadcast(picked), "_id"), text_col, ["y", "_id"]).orderBy(F.xxhash64("_id"), "content", "lang", "source", "n_chars").limit(LABELLED).collect()  # LABELLED rows at most
+    content = np.array([np.frombuffer(r["content"], float) for r in rows]).reshape(-1, len(CONTENT))
+    metadata = metadata_features([r["lang"] for r in rows], [r["source"] for r in rows], [r["n_chars"] for r in rows])
+    free: list[DataFrame] = []
+
+    def sums(one: View, two: View) -> np.ndarray:
+        if not free:  # 21 bytes a document
+            binned = _shared.written(_binned(plain, text_col, one), "binned")
+            free.append(_shared.written(binned.join(known.select("_id"), "_id", "left_anti"), "unlabelled"))
+        return _summed(free[0], one, two)
+
+    return cotrained(content, metadata, np.array([r["y"] for r in rows], float), sums)
 
 
 def _metadata(docs: DataFrame) -> list:
