@@ -504,6 +504,36 @@ def test_quality_is_learned(spark):
     assert sum((got[k] >= 0.5) == bool(y[k]) for k in range(250, 400)) >= 147
 
 
+def test_cotraining_equals_plain_sums(spark):
+    """Scores against the same models fed by a loop over all unlabelled rows, one at a time."""
+    docs, labels, y = labelled(spark, 300, good_or_bad)
+    rows = sorted(map(tuple, docs.collect()))
+    feats = cotraining.content_features(pa.array([r[1] for r in rows], pa.string()))
+    meta = cotraining.metadata_features([r[2] for r in rows], [r[3] for r in rows], [r[4] for r in rows])
+    known = sorted(range(150), key=lambda k: spark.range(1).select(F.xxhash64(F.lit(k).cast("long"))).first()[0])
+
+    def sums(one, two):
+        out, moved = None, 0
+        for k in range(150, 300):
+            p, q = (1 / (1 + math.exp(-min(max(float(v.weights[v.bins(x[k : k + 1])].sum() + v.weights[-1]), -30), 30))) for v, x in ((one, feats), (two, meta)))
+            part = []
+            for view, x, mine, other in ((one, feats, p, q), (two, meta, q, p)):
+                g, h = np.zeros(len(view.weights)), np.zeros(len(view.weights))
+                if sure := other >= cotraining.CONFIDENT or other <= 1 - cotraining.CONFIDENT:
+                    for i in [*view.bins(x[k : k + 1])[0].tolist(), len(g) - 1]:
+                        g[i] += (other > 0.5) - mine
+                        h[i] += 0.25
+                    moved += 1
+                part += [[float(sure)], g, h]
+            out = np.concatenate(part) if out is None else out + np.concatenate(part)
+        assert moved > 0
+        return out
+
+    plain = cotraining.cotrained(feats[known], meta[known], np.array([y[k] for k in known], float), sums)
+    got = {r["doc_id"]: r["score"] for r in cotraining.scored(docs, labels.filter("doc_id < 150"), label_col="y").collect()}
+    assert [got[k] for k in range(300)] == pytest.approx(plain.score(feats, meta).tolist(), abs=1e-9)
+
+
 def test_toxic_spans_are_learned(spark):
     docs, labels, y = labelled(spark, 600, toxic_or_not)
     text = dict(rows_of(docs))

@@ -210,8 +210,8 @@ def joined_words(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                for m in _JOINED.finditer(text.as_py() or ""):
-                    seen[m.groups()] += 1
+                t = text.as_py() or ""
+                seen.update(_JOINED.findall(t) if len(t) < 100_000 else (m.groups("") for m in _JOINED.finditer(t)))
                 if len(seen) > COUNTED:
                     yield dealt()
                     seen.clear()
