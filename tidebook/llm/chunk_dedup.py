@@ -136,7 +136,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     a text don't overlap; a run covers ``min_words`` words, its parts may be shorter.
     """
     _shared.tuned(docs.sparkSession)
-    parts = _shared.written(chunks(docs, id_col, text_col), "chunks")
+    parts = chunks(docs, id_col, text_col)  # cut twice: chunk rows would take most of the input's size on disk
     shared = parts.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("digest", F.col("low").alias("first_doc_id"))
     # rows stay packed on their way; repeated rows of an id share all numbers
     hits = parts.join(shared, "digest").select("doc_id", "span", "info", "first_doc_id").dropDuplicates(["doc_id", "info"])
