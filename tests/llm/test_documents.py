@@ -120,8 +120,7 @@ def test_classes_equal_brute_force(docs):
 
 LIMITS = (
     chosen_path.Limits(leaf=8, outside=3, depth=3),  # tasks branch
-    chosen_path.Limits(leaf=8, outside=3, local=16, depth=3, members=5, broadcast=0),  # nodes branch through shuffles, nothing is broadcast
-    chosen_path.Limits(leaf=8, outside=3, local=16, depth=0),  # blocks of all documents
+    chosen_path.Limits(leaf=8, outside=3, local=16, depth=1, members=5, broadcast=0),  # nodes branch through shuffles and end in blocks, nothing is broadcast
     chosen_path.Limits(sets=100),  # pair by pair
 )
 

@@ -49,13 +49,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.shared_path = path
+    return out
 
 
-def deleted(spark: SparkSession, path: str) -> None:
-    """Remove a folder of the shared store that nothing reads any more."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+def released(*tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more: all that came from them is written itself."""
+    for t in tables:
+        spark = t.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(t.shared_path.rsplit("/", 1)[0])
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 # ------------------------------------------------------------------ text in bulk
@@ -182,7 +186,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     e = written(down(edges), "edges")
     while not settled(e):
-        e = written(star(star(e, True), False), "edges")
+        before, e = e, written(star(star(e, True), False), "edges")
+        released(before)
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 

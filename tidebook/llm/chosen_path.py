@@ -469,8 +469,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
         starred = _shared.written(_starred(nodes, percent, limits.local), "starred")
         pairs = _shared.written(starred.filter("a is not null").select("a", "b").distinct(), "pairs")
         links.append(_shared.written(confirmed(pairs, plain, width, percent, limits), "stars"))
+        _shared.released(pairs)
         open_ = starred.filter("node is not null").drop("a", "b")
         if open_.isEmpty():
+            _shared.released(starred)
             break
         last = open_.filter(f"n > {limits.local}").isEmpty()
         if last:
@@ -491,10 +493,14 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, percent: i
             names = ["node", "doc_id", "component", "n_shingles", "marks"]
             rest = named.filter(f"n <= {limits.local}").select(*names).unionByName(dealt.withColumn("node", F.xxhash64("node", "block")).select(*names))
         flagged = _shared.written(_flagged(rest, percent, limits), "flagged")
+        _shared.released(starred, *([] if last else [named]))
         links.append(_shared.written(_within(flagged, plain, width, percent, limits), "links"))
         by_pair = flagged.filter("other is not null").select(F.col("doc_id").alias("a"), F.col("other").alias("b"))
         if not by_pair.isEmpty():
-            links.append(_shared.written(confirmed(_shared.written(by_pair.distinct(), "pairs"), plain, width, percent, limits), "links"))
+            pairs = _shared.written(by_pair.distinct(), "pairs")
+            links.append(_shared.written(confirmed(pairs, plain, width, percent, limits), "links"))
+            _shared.released(pairs)
+        _shared.released(flagged)
         if last or depth == limits.depth:
             break
         level = _children(large.filter(f"n - size > {limits.outside}"))

@@ -291,9 +291,12 @@ def model_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
         if not free:  # 21 bytes a document
             binned = _shared.written(_binned(plain, text_col, one), "binned")
             free.append(_shared.written(binned.join(known.select("_id"), "_id", "left_anti"), "unlabelled"))
+            _shared.released(binned)
         return _summed(free[0], one, two)
 
-    return cotrained(content, metadata, np.array([r["y"] for r in rows], float), sums)
+    model = cotrained(content, metadata, np.array([r["y"] for r in rows], float), sums)
+    _shared.released(*free)
+    return model
 
 
 def _metadata(docs: DataFrame) -> list:

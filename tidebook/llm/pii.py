@@ -240,16 +240,20 @@ def confident_instances(rows: DataFrame, totals: DataFrame, cues: tuple[str, ...
     graph = edges.join(patterns.select("pattern", "instances", "ordinary"), "pattern").join(common, "instance", "left")
     graph = graph.select("pattern", "instance", "instances", "ordinary", F.expr("case when seed then 1.0D when common then 0.0D end").alias("given"), trusted.alias("trusted"))
     graph = _shared.written(graph, "graph")
-    scores = spark.createDataFrame([], "instance long, score double")
+    _shared.released(edges)
+    scores, before = spark.createDataFrame([], "instance long, score double"), []
     for _ in range(rounds):
         now = graph.join(scores, "instance", "left").withColumn("c", F.coalesce("given", "score"))
         mean = F.sum(F.coalesce("c", F.lit(0.0))) / (F.sum(F.when(F.col("c").isNull(), UNKNOWN).otherwise(1.0)) + F.max("ordinary"))
         good = now.groupBy("pattern").agg(F.when(F.max("trusted"), 1.0).otherwise(mean * F.max("instances") / (F.max("instances") + 1)).alias("confidence"))
-        good = _shared.written(good.filter("confidence > 0"), "patterns")
+        patterns = good = _shared.written(good.filter("confidence > 0"), "patterns")
         good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good
         both = graph.filter("given is null").join(good, "pattern").groupBy("instance")
         scores = both.agg((1 - F.exp(F.sum(F.log1p(-F.least("confidence", F.lit(0.999)))))).alias("score")).filter(F.col("score") >= SCORED)
         scores = _shared.written(scores, "scores")
+        _shared.released(patterns, *before)
+        before = [scores]
+    _shared.released(graph)
     return scores.filter(F.col("score") >= confident).select("instance")
 
 
