@@ -71,8 +71,12 @@ def test_a_null_symbol_keeps_its_book(spark):
     assert len(got) == 2500 and got[-1]["best_bid"] == 11 and got[-1]["best_ask"] == 12
 
 
-def test_ranges_fold_like_one_book(spark, monkeypatch):
+@pytest.mark.parametrize("prices", [512, 0])
+def test_ranges_fold_like_one_book(spark, monkeypatch, prices):
+    """With arrays and with heaps."""
     monkeypatch.setattr(B, "SPAN", 16)
+    if not prices:
+        monkeypatch.setattr(B, "_filled", lambda *a: None)
     rows = [(s, n, side, price, q) for s in ("a", None) for n, (side, price, q) in enumerate([("BID", 5, 1), ("ASK", 9, 2), ("BID", 6, 4), ("BID", 6, 0), ("ASK", 9, 0), ("ASK", 8, 3), (None, 1, 1), ("BID", None, 1)] * 12)]
     deltas = spark.createDataFrame(rows, "symbol string, update_id long, side string, price long, new_quantity long")
     got = {(r["symbol"], r["update_id"]): tuple(r)[2:] for r in B.top_of_book(deltas).collect()}

@@ -19,6 +19,7 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -79,7 +80,7 @@ def _steps(rows: pd.DataFrame) -> Iterator[tuple[int, bool, _Half, _Half]]:
     start = rows["update_id"].isna()
     for side, price, quantity in zip(*(rows.loc[start, c].tolist() for c in ("side", "price", "quantity")), strict=True):
         sides[side].set(int(price), int(quantity))
-    rest = rows.loc[~start].sort_values(["update_id", "probe", "side", "price"], kind="stable")
+    rest = _ordered(rows)
     whole = rest["price"].notna() & rest["quantity"].notna()
     for update_id, probe, side, price, quantity, ok in zip(rest["update_id"].tolist(), rest["probe"].tolist(), rest["side"].tolist(), rest["price"].tolist(), rest["quantity"].tolist(), whole.tolist(), strict=True):
         if ok and side in sides:
@@ -87,6 +88,39 @@ def _steps(rows: pd.DataFrame) -> Iterator[tuple[int, bool, _Half, _Half]]:
         yield int(update_id), probe, sides["BID"], sides["ASK"]
 
 
+#: Prices of a range up to which its sides are filled forward price by price, as arrays.
+PRICES = 512
+
+
+def _ordered(rows: pd.DataFrame) -> pd.DataFrame:
+    return rows.loc[rows["update_id"].notna()].sort_values(["update_id", "probe", "side", "price"], kind="stable")
+
+
+def _filled(rows: pd.DataFrame, rest: pd.DataFrame, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Best price (0 where there is none), number and volume of a side's levels after each row; None if it has too many prices."""
+    n = len(rest)
+    first = rows.loc[rows["update_id"].isna() & (rows["side"] == side)]
+    first = dict(zip(first["price"].astype(np.int64).tolist(), first["quantity"].astype(np.int64).tolist(), strict=True))
+    at = np.flatnonzero(((rest["side"] == side) & rest["price"].notna() & rest["quantity"].notna()).to_numpy(bool))
+    price, quantity = (rest[c].to_numpy()[at].astype(np.int64) for c in ("price", "quantity"))
+    prices = sorted(set(first) | set(price.tolist()), reverse=side == "BID")
+    if len(prices) > PRICES:
+        return None
+    order = np.argsort(price, kind="stable")
+    at, price, quantity = at[order], price[order], np.maximum(quantity[order], 0)
+    begin, end = np.searchsorted(price, prices), np.searchsorted(price, prices, side="right")
+    best, depth, volume, none = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64), np.ones(n, bool)
+    for p, a, b in zip(prices, begin.tolist(), end.tolist(), strict=True):
+        held = np.repeat(np.append(first.get(p, 0), quantity[a:b]), np.diff(np.concatenate([[0], at[a:b], [n]])))
+        live = held > 0
+        depth += live
+        volume += held
+        new = live & none
+        best[new] = p
+        none &= ~live
+    return best, depth, volume
+
+
 TOP = "symbol string, update_id long, best_bid long, best_ask long, bid_depth long, ask_depth long, bid_volume long, ask_volume long"
 
 
@@ -94,8 +128,18 @@ def top_of_book(deltas: DataFrame) -> DataFrame:
     """After each delta: best bid and ask (null for an empty side) and the number and volume of levels of each side."""
 
     def fold(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = [(n, b.best(), a.best(), len(b.level), len(a.level), b.volume, a.volume) for n, _, b, a in _steps(rows)]
-        frame = pd.DataFrame(out, columns=[c.split()[0] for c in TOP.split(", ")][1:])
+        rest = _ordered(rows)
+        sides = [_filled(rows, rest, side) for side in ("BID", "ASK")]
+        if any(s is None for s in sides):  # many prices: a heap for each side
+            out = [(n, b.best(), a.best(), len(b.level), len(a.level), b.volume, a.volume) for n, _, b, a in _steps(rows)]
+            frame = pd.DataFrame(out, columns=[c.split()[0] for c in TOP.split(", ")][1:])
+        else:
+            (bid, bids, bid_volume), (ask, asks, ask_volume) = sides
+            best = [pd.array(v, "Int64") for v in (bid, ask)]
+            for column, n in zip(best, (bids, asks), strict=True):
+                column[n == 0] = pd.NA
+            columns = (rest["update_id"].to_numpy().astype(np.int64), *best, bids, asks, bid_volume, ask_volume)
+            frame = pd.DataFrame(dict(zip([c.split()[0] for c in TOP.split(", ")][1:], columns, strict=True)))
         frame.insert(0, "symbol", key[0])
         return frame.astype({"best_bid": "Int64", "best_ask": "Int64"})
 
