@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step works on; bounds a worker's memory.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _M1, _M2, _SEED = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _LANE = np.array([0] + [(1 << (8 * k)) - 1 for k in range(1, 9)], dtype=np.uint64)

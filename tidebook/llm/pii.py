@@ -46,7 +46,7 @@ UNKNOWN, SCORED, COMMON = 0.2, 0.5, 8
 #: Patterns up to this number are broadcast (some 60 bytes each); beyond it they are shuffled.
 BROADCAST_ROWS = 500_000
 #: Different words that a task counts before it passes the counts on.
-COUNTED = 200_000
+COUNTED = 30_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
